@@ -57,6 +57,8 @@ BRONZE_PARTITIONS = ["pipeline_run_date"]
 PRICE = DecimalType(18, 6)
 DISCOUNT = DecimalType(9, 6)
 MONEY = DecimalType(18, 2)
+# Largest values those types hold; NaN and infinity compare as larger.
+MAX_PRICE, MAX_DISCOUNT = 999_999_999_999.0, 999.0
 
 SILVER = _struct(
     transaction_id=StringType(),
