@@ -2,7 +2,6 @@
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -53,19 +52,23 @@ class Lake:
         return f"{self.base}/checkpoints/{feed}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, on whatever file system the path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def stored(
     spark: SparkSession, path: str, schema: StructType, table_format: str = "parquet"
 ) -> DataFrame | None:
     """A stored table with its fixed schema, or None when there is none at the path."""
-    reader = spark.read.format(table_format)
-    if table_format != "delta":  # Delta keeps the schema itself
-        reader = reader.schema(schema)
-    try:
-        return reader.load(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
+    if table_format == "delta":  # Delta keeps the schema itself
+        if not exists(spark, f"{path}/_delta_log"):
             return None
-        raise
+        return spark.read.format("delta").load(path)
+    if not exists(spark, path):
+        return None
+    return spark.read.format(table_format).schema(schema).load(path)
 
 
 def _required(table: DataFrame | None, what: str) -> DataFrame:
