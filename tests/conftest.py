@@ -9,8 +9,13 @@ from session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session()
+def shared_folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared_folder):
+    return local_session(**{"spark.checkpoint.dir": shared_folder})
 
 
 @pytest.fixture

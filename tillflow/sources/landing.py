@@ -23,7 +23,7 @@ def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
     """First line of every CSV file and whether it is the expected header.
 
-    Files are scanned as text where they lie.  Only the task holding the start of
+    Names are plain paths, not URLs.  Files are scanned as text where they lie.  Only the task holding the start of
     a file sees its first line, so ``first`` has a single candidate per file.
     """
     expected = ",".join(RAW.names)
@@ -31,7 +31,7 @@ def file_headers(spark: SparkSession, path: str) -> DataFrame:
         spark.read.text(path)
         .select(
             F.col("value"),
-            F.col("_metadata.file_path").alias("file"),
+            F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"),
             F.col("_metadata.file_block_start").alias("start"),
         )
         .filter("start = 0")
