@@ -7,11 +7,12 @@ from sales import bronze, line, random_lines, write_csv
 
 from tillflow.operators.contracts import ContractViolation, all_violations, require_contract, violations
 from tillflow.plans import medallion
+from tillflow.plans.serving import Reports
 from tillflow.schemas import GOLD, SILVER_PARTITIONS
 from tillflow.sinks import gold as gold_sink
 from tillflow.sinks import jdbc
 from tillflow.sinks.upsert import upsert
-from tillflow.sources.lake import latest_gold_version, read_gold
+from tillflow.sources.lake import latest_gold_version, read_bronze, read_gold, read_silver
 
 
 @pytest.fixture
@@ -61,8 +62,25 @@ def test_whole_run(spark, lake, tmp_path):
     source = write_csv(tmp_path / "sales.csv", random_lines(52, 60))
     assert medallion.run(spark, lake, source).row_count == 60
     assert medallion.run(spark, lake, source).row_count == 60
-    daily = read_gold(spark, lake)["daily_revenue"]
-    assert daily.agg(F.sum("transaction_count")).first()[0] == 60
+    reports = Reports(spark, lake)
+    assert reports.summary().first()["total_transactions"] == 60
+    assert reports.summary_exact().first()["total_transactions"] == 60
+    assert reports.daily_revenue(size=3).count() == 3
+    assert len(reports.daily_revenue_envelope(size=3, region="n").first()["data"]) == 3
+    assert reports.top_products(2).count() == 2
+    assert reports.store_detail("s01").count() == 1 and reports.store_leaderboard("north").count() == 2
+    assert reports.category_trends(2025, "toys").select("category").distinct().count() == 1
+
+
+def test_run_since_a_date(spark, lake, tmp_path):
+    first = write_csv(tmp_path / "1.csv", [line("A", quantity=1), line("B", quantity=1)])
+    second = write_csv(tmp_path / "2.csv", [line("A", quantity=2)])
+    medallion.run(spark, lake, first)
+    today = read_bronze(spark, lake).first()["pipeline_run_date"]
+    medallion.run(spark, lake, second, since=today)
+    medallion.refresh_silver(spark, lake, since="2099-01-01")
+    got = {r["transaction_id"]: r["quantity"] for r in read_silver(spark, lake).collect()}
+    assert got == {"A": 2, "B": 1}
 
 
 def test_contract_report(spark, filled):

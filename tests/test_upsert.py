@@ -121,7 +121,7 @@ def test_refresh_silver_over_deliveries(spark, lake, tmp_path):
             "C": ["bad_quantity", "corrupt_record"],
         }
         assert len(rejects) == 2
-    medallion.refresh_silver(spark, lake, run_dates=["1999-01-01"])
+    medallion.refresh_silver(spark, lake, since="2099-01-01")
     assert content(spark, lake.silver) == expected([line("A", quantity=3), line("D")])
     assert len(spark.read.parquet(lake.quarantine).collect()) == 2
 

@@ -11,10 +11,17 @@ REASONS = "reject_reasons"
 
 
 def parsed_date(df: DataFrame) -> Column:
-    """The sale date, or NULL when its text is no date (also under ANSI mode)."""
+    """The sale date, or NULL when its text is no date written as yyyy-MM-dd.
+
+    A cast is lenient about the form, so the date has to print as the text it
+    came from.  Other than a parse with a pattern it raises no exception inside
+    Spark for each bad text, which would cost more than the rest of the row.
+    """
+    text = F.col("date")
     if dict(df.dtypes)["date"] == "date":
-        return F.col("date")
-    return F.try_to_date(F.col("date"), "yyyy-MM-dd")
+        return text
+    day = text.try_cast("date")
+    return F.when(day.cast("string") == text, day)
 
 
 def _requirements(df: DataFrame, strict: Iterable[str]) -> dict[str, Column]:

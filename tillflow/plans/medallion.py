@@ -13,7 +13,7 @@ from tillflow.schemas import BRONZE_PARTITIONS, KEY, SILVER, SILVER_PARTITIONS
 from tillflow.sinks.gold import publish
 from tillflow.sinks.tables import append, overwrite_partitions
 from tillflow.sinks.upsert import upsert
-from tillflow.sources.lake import Lake, read_bronze, read_silver
+from tillflow.sources.lake import Date, Lake, read_bronze, read_silver
 from tillflow.sources.landing import file_headers, read_csv, with_load_metadata
 
 
@@ -61,18 +61,16 @@ def to_silver(bronze: DataFrame, strict: Iterable[str] = ()) -> DataFrame:
 
 
 def refresh_silver(
-    spark: SparkSession,
-    lake: Lake,
-    run_dates: list[str] | None = None,
-    strict: Iterable[str] = (),
+    spark: SparkSession, lake: Lake, since: Date | None = None, strict: Iterable[str] = ()
 ) -> None:
     """Merge Bronze into Silver and keep rejected rows with their reasons.
 
-    All of Bronze by default, else the loads of some run dates.  Either way a
-    repeated call changes nothing: keys are merged, and the quarantine of a run
+    All of Bronze by default; with ``since``, only the loads of that run date and
+    later, whose versions are the newest of their keys by definition.  Either way
+    a repeated call changes nothing: keys are merged, and the quarantine of a run
     date is replaced as a whole.
     """
-    bronze = read_bronze(spark, lake, run_dates)
+    bronze = read_bronze(spark, lake, since)
     upsert(to_silver(bronze, strict), lake.silver, KEY, SILVER_PARTITIONS, lake.table_format)
     overwrite_partitions(rejected(bronze, strict), lake.quarantine, BRONZE_PARTITIONS)
 
@@ -82,9 +80,13 @@ def refresh_gold(spark: SparkSession, lake: Lake, week_year: str = "calendar") -
     return publish(spark, lake, all_tables(read_silver(spark, lake), week_year))
 
 
-def run(spark: SparkSession, lake: Lake, source: str) -> Load:
-    """The whole way from CSV files to Gold."""
+def run(spark: SparkSession, lake: Lake, source: str, since: Date | None = None) -> Load:
+    """The whole way from CSV files to Gold.
+
+    A scheduler passes the day of the last successful run as ``since``, so that a
+    run reads the new loads and not the whole history of Bronze.
+    """
     load = ingest(spark, lake, source)
-    refresh_silver(spark, lake)
+    refresh_silver(spark, lake, since)
     refresh_gold(spark, lake)
     return load

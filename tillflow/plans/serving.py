@@ -5,9 +5,7 @@ Where an order had ties, the id or region of the row settles them, so that pages
 and top lists are the same on every run.
 """
 
-import datetime
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import rounded_mean
@@ -20,8 +18,7 @@ from tillflow.schemas import (
     NO_NAME,
     serving_columns,
 )
-
-Date = datetime.date | str
+from tillflow.sources.lake import Date, Lake, read_gold, read_silver
 
 
 def _within(name: str, value: int, low: int, high: int | None = None) -> None:
@@ -199,3 +196,41 @@ def category_trends(
     return trends.select(*serving_columns("category_trends")).orderBy(
         F.desc("year"), F.desc("week"), F.desc("weekly_revenue"), "category"
     )
+
+
+# --- All of them over what is published ------------------------------------------
+
+
+class Reports:
+    """The serving queries bound to the Gold version current at construction."""
+
+    def __init__(self, spark: SparkSession, lake: Lake) -> None:
+        self._spark, self._lake = spark, lake
+        gold = read_gold(spark, lake)
+        self._daily, self._trends = gold["daily_revenue"], gold["category_trends"]
+        self._products, self._stores = gold["product_performance"], gold["store_performance"]
+
+    def summary(self) -> DataFrame:
+        return kpi_summary(self._daily, self._products, self._stores)
+
+    def summary_exact(self) -> DataFrame:
+        silver = read_silver(self._spark, self._lake)
+        return kpi_summary_exact(silver, self._daily, self._products, self._stores)
+
+    def daily_revenue(self, page: int = 1, size: int = DEFAULT_PAGE_SIZE, **filters) -> DataFrame:
+        return daily_revenue_page(self._daily, page=page, size=size, **filters)
+
+    def daily_revenue_envelope(self, page: int = 1, size: int = DEFAULT_PAGE_SIZE, **filters) -> DataFrame:
+        return daily_revenue_envelope(self._daily, page=page, size=size, **filters)
+
+    def top_products(self, limit: int = DEFAULT_TOP, category: str | None = None) -> DataFrame:
+        return top_products(self._products, limit, category)
+
+    def store_leaderboard(self, region: str | None = None) -> DataFrame:
+        return store_leaderboard(self._stores, region)
+
+    def store_detail(self, store_id: str) -> DataFrame:
+        return store_detail(self._stores, store_id)
+
+    def category_trends(self, year: int | None = None, category: str | None = None) -> DataFrame:
+        return category_trends(self._trends, year, category)

@@ -1,5 +1,6 @@
 """Where the layers live, and how to read them."""
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,6 +9,8 @@ from pyspark.sql.types import StructType
 
 from tillflow.schemas import BRONZE, GOLD, SILVER
 
+Date = datetime.date | str
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -77,8 +80,8 @@ def _required(table: DataFrame | None, what: str) -> DataFrame:
     return table
 
 
-def read_bronze(spark: SparkSession, lake: Lake, run_dates: list[str] | None = None) -> DataFrame:
-    """All loads, or those of some run dates (a partition filter)."""
+def read_bronze(spark: SparkSession, lake: Lake, since: Date | None = None) -> DataFrame:
+    """All loads, or those of a run date and later (a partition filter)."""
     found = [
         stored(spark, lake.bronze, BRONZE, lake.table_format),
         stored(spark, lake.bronze_stream, BRONZE),
@@ -87,8 +90,8 @@ def read_bronze(spark: SparkSession, lake: Lake, run_dates: list[str] | None = N
     bronze = _required(found[0] if found else None, "Bronze table")
     for other in found[1:]:
         bronze = bronze.unionByName(other)
-    if run_dates is not None:
-        bronze = bronze.filter(F.col("pipeline_run_date").isin([F.lit(d).cast("date") for d in run_dates]))
+    if since is not None:
+        bronze = bronze.filter(F.col("pipeline_run_date") >= F.lit(since).cast("date"))
     return bronze
 
 

@@ -53,7 +53,7 @@ def disturbed_facts(spark: SparkSession, folder: str) -> DataFrame:
         folder,
         transaction_id=F.when(F.col("l_shipdate") < F.lit("2001-06-01").cast("timestamp_ntz"), key),
         date=F.when(F.col("o_orderstatus") == "P", F.lit("2024-13-99")).otherwise(
-            F.date_format("o_orderdate", "yyyy-MM-dd")
+            F.col("o_orderdate").cast("date").cast("string")
         ),
         quantity=F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity),
         unit_price=F.when(F.col("l_tax") == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice")),
