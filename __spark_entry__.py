@@ -7,6 +7,7 @@ Bronze-shaped sale lines.  Every query runs over all of them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tillflow.operators.quality import REASONS, accepted, rejected
 from tillflow.operators.rank import rank_distributed
 from tillflow.plans import gold, serving
 from tillflow.schemas import KEY
+from tillflow.settings import configure
 from tillflow.sources.landing import with_load_metadata
 from tillflow.sources.staging import staged
 from tillflow.sources.star import FACT_TIE_BREAK, disturbed_facts, sale_facts, with_attributes
@@ -252,11 +254,14 @@ _QUERIES = [
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: daily revenue per region from raw sale lines."""
-    return gold_daily_revenue(spark, "/root/testdata/sf0.001")
+    return gold_daily_revenue(configure(spark), "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    def configured(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+        return wraps(query)(lambda spark, folder: query(configure(spark), folder))
+
+    return {query.__name__: configured(query) for query in _QUERIES}
 
 
 # --- SQL side ------------------------------------------------------------------
