@@ -113,13 +113,14 @@ def gold_category_trends_iso(spark: SparkSession, folder: str) -> DataFrame:
     return gold.category_trends(_silver(spark, folder, products=True), week_year="iso")
 
 
-def _stored_silver(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver written once for the queries that read several Gold tables."""
-    return staged(_silver(spark, folder, stores=True, products=True), "silver")
+def stored_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver written once, for the queries that read several Gold tables."""
+    silver = _silver(spark, folder, stores=True, products=True)
+    return staged(silver.drop(KEY, "ingestion_timestamp", "day_of_week", "is_weekend"), "silver")
 
 
 def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _stored_silver(spark, folder)
+    silver = stored_silver(spark, folder)
     return serving.kpi_summary(
         staged(gold.daily_revenue(silver), "daily_revenue"),
         gold.product_performance(silver),
@@ -128,7 +129,7 @@ def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kpi_summary_exact(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _stored_silver(spark, folder)
+    silver = stored_silver(spark, folder)
     return serving.kpi_summary_exact(
         silver,
         gold.daily_revenue(silver),
@@ -203,7 +204,7 @@ def gold_contract_violations(spark: SparkSession, folder: str) -> DataFrame:
             ).otherwise(F.col("category")),
         }
     )
-    stored = staged(restated.drop("in_debt", "ingestion_timestamp"), "restated")
+    stored = staged(restated.drop("in_debt", "ingestion_timestamp", KEY), "restated")
     return all_violations(gold.all_tables(stored))
 
 

@@ -102,7 +102,9 @@ def test_versions_are_compared_without_python(stored_bronze):
 
 def test_shared_folder_comes_from_the_session(spark, shared_folder):
     assert staging.shared_folder(spark) == shared_folder
-    assert staging.staged(spark.range(3), "x").inputFiles()[0].startswith(f"file://{shared_folder}/x-")
+    assert staging.staged(spark.range(3), "x").inputFiles()[0].startswith(
+        f"file://{shared_folder}/{spark.sparkContext.applicationId}/x-"
+    )
 
 
 class _Session:

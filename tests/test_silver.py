@@ -47,7 +47,14 @@ def test_rejected_rows_carry_every_reason(spark):
         line("qn", quantity=None),
         line("p", price=float("nan")),
         line("pinf", price=float("inf")),
+        line("pbig", quantity=2**31 - 1, price=1e11),
+        line("qmin", quantity=-(2**31)),
         line("d", day="2024-13-99"),
+        line("d3", day="2024-1-5"),
+        line("d4", day=" 2024-01-05"),
+        line("d5", day="2024-01-05T00:00:00"),
+        line("d6", day="2024"),
+        line("max", quantity=2, price=4e12 / 5, discount=999.0),
         line("d2", day="05.03.2024"),
         line("disc", discount=float("nan")),
         line("over", discount=1.5),
@@ -62,15 +69,21 @@ def test_rejected_rows_carry_every_reason(spark):
         "qn": ["bad_quantity"],
         "p": ["bad_price"],
         "pinf": ["bad_price"],
+        "pbig": ["bad_price"],
+        "qmin": ["bad_quantity"],
         "d": ["bad_date"],
+        "d3": ["bad_date"],
+        "d4": ["bad_date"],
+        "d5": ["bad_date"],
+        "d6": ["bad_date"],
         "d2": ["bad_date"],
         "disc": ["bad_discount"],
     }
     kept = {r["transaction_id"]: r for r in silver_rows(df).collect()}
-    assert kept.keys() == {"good", "over", "free"}
+    assert kept.keys() == {"good", "over", "free", "max"}
     assert kept["free"]["discount_amount"] == 0 and kept["over"]["net_revenue"] < 0
     strict = rejected(df, ["discount_out_of_range"])
-    assert {r["transaction_id"] for r in strict.collect()} == reasons.keys() | {"over"}
+    assert {r["transaction_id"] for r in strict.collect()} == reasons.keys() | {"over", "max"}
     assert silver_rows(df, strict=["discount_out_of_range"]).count() == 2
     with pytest.raises(ValueError, match="no_such_rule"):
         rejected(df, ["no_such_rule"])

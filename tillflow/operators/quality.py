@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.schemas import CORRUPT, KEY, MAX_DISCOUNT, MAX_PRICE
+from tillflow.schemas import CORRUPT, KEY, MAX_DISCOUNT, MAX_GROSS, MAX_PRICE
 
 REASONS = "reject_reasons"
 
@@ -27,10 +27,11 @@ def parsed_date(df: DataFrame) -> Column:
 def _requirements(df: DataFrame, strict: Iterable[str]) -> dict[str, Column]:
     """Reason for rejection -> condition a good row meets (NULL counts as not met)."""
     quantity, price, discount = F.col("quantity"), F.col("unit_price"), F.col("discount_pct")
+    pieces = F.coalesce(F.abs(quantity.cast("double")), F.lit(1.0))
     required = {
         "missing_key": F.col(KEY).isNotNull(),
         "bad_quantity": quantity > 0,
-        "bad_price": (price > 0) & (price < MAX_PRICE),
+        "bad_price": (price > 0) & (price < MAX_PRICE) & (price * pieces < MAX_GROSS),
         "bad_date": parsed_date(df).isNotNull(),
         "bad_discount": discount.isNull() | discount.between(-MAX_DISCOUNT, MAX_DISCOUNT),
     }
@@ -69,5 +70,7 @@ def rejected(bronze: DataFrame, strict: Iterable[str] = ()) -> DataFrame:
         any_broken = any_broken | condition
     if CORRUPT in bronze.columns:
         broken["corrupt_record"] = F.col(CORRUPT).isNotNull()
-    reasons = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in broken.items()]))
-    return bronze.filter(any_broken).withColumn(REASONS, reasons)
+    # Joined and split, because dropping NULLs from an array takes a lambda that
+    # Spark interprets row by row.
+    names = F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in broken.items()])
+    return bronze.filter(any_broken).withColumn(REASONS, F.split(names, ","))

@@ -57,8 +57,9 @@ BRONZE_PARTITIONS = ["pipeline_run_date"]
 PRICE = DecimalType(18, 6)
 DISCOUNT = DecimalType(9, 6)
 MONEY = DecimalType(18, 2)
-# Largest values those types hold; NaN and infinity compare as larger.
-MAX_PRICE, MAX_DISCOUNT = 999_999_999_999.0, 999.0
+# Limits that keep every line inside those types, also gross times discount;
+# NaN and infinity compare as larger.
+MAX_PRICE, MAX_DISCOUNT, MAX_GROSS = 999_999_999_999.0, 999.0, 9_000_000_000_000.0
 
 SILVER = _struct(
     transaction_id=StringType(),

@@ -23,8 +23,10 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
     Consumers share one computation, a lost executor costs a re-read instead of
     a re-run, and file sizes tell the optimizer what may be broadcast.  The
-    folders belong to the cluster's clean-up rule for checkpoints.
+    folders, one per application, fall under the cluster's clean-up of checkpoints.
     """
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    run = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/{run}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
