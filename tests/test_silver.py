@@ -54,6 +54,10 @@ def test_rejected_rows_carry_every_reason(spark):
         line("d4", day=" 2024-01-05"),
         line("d5", day="2024-01-05T00:00:00"),
         line("d6", day="2024"),
+        line("d7", day="2023-02-29"),
+        line("d8", day="2024/02/29"),
+        line("d9", day="abcd-ef-gh"),
+        line("leap", day="2024-02-29"),
         line("max", quantity=2, price=4e12 / 5, discount=999.0),
         line("d2", day="05.03.2024"),
         line("disc", discount=float("nan")),
@@ -76,15 +80,18 @@ def test_rejected_rows_carry_every_reason(spark):
         "d4": ["bad_date"],
         "d5": ["bad_date"],
         "d6": ["bad_date"],
+        "d7": ["bad_date"],
+        "d8": ["bad_date"],
+        "d9": ["bad_date"],
         "d2": ["bad_date"],
         "disc": ["bad_discount"],
     }
     kept = {r["transaction_id"]: r for r in silver_rows(df).collect()}
-    assert kept.keys() == {"good", "over", "free", "max"}
+    assert kept.keys() == {"good", "over", "free", "max", "leap"}
     assert kept["free"]["discount_amount"] == 0 and kept["over"]["net_revenue"] < 0
     strict = rejected(df, ["discount_out_of_range"])
     assert {r["transaction_id"] for r in strict.collect()} == reasons.keys() | {"over", "max"}
-    assert silver_rows(df, strict=["discount_out_of_range"]).count() == 2
+    assert silver_rows(df, strict=["discount_out_of_range"]).count() == 3
     with pytest.raises(ValueError, match="no_such_rule"):
         rejected(df, ["no_such_rule"])
 
