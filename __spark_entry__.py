@@ -80,7 +80,7 @@ def silver_upsert(spark: SparkSession, folder: str) -> DataFrame:
     split = F.lit("1999-01-01").cast("timestamp_ntz")
     first = silver_rows(facts.filter(F.col("ingestion_timestamp") < split), FACT_TIE_BREAK)
     second = silver_rows(facts.filter(F.col("ingestion_timestamp") >= split), FACT_TIE_BREAK)
-    return _doubles(merged(first, second, KEY)).drop("ingestion_timestamp")
+    return _doubles(merged(first, staged(second, "delivery"), KEY)).drop("ingestion_timestamp")
 
 
 def gold_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:

@@ -87,9 +87,9 @@ def test_interrupted_swap_is_finished_by_the_next_call(spark, tmp_path, monkeypa
         put(spark, path, [line("A", day="2024-02-02", quantity=7)])
     monkeypatch.undo()
     moved = [line("A", day="2024-02-02", quantity=7), line("B", day="2024-02-01")]
-    assert recover(spark, path, SILVER, SILVER_PARTITIONS)
+    assert recover(spark, path, SILVER, SILVER_PARTITIONS, KEY)
     assert content(spark, path) == expected(moved)
-    assert not recover(spark, path, SILVER, SILVER_PARTITIONS)
+    assert not recover(spark, path, SILVER, SILVER_PARTITIONS, KEY)
     put(spark, path, [line("C")])
     assert content(spark, path) == expected([*moved, line("C")])
 
@@ -104,6 +104,17 @@ def test_delta_needs_its_package(spark, tmp_path):
         upsert(medallion.to_silver(bronze(spark, [line("A")])), str(tmp_path / "s"), KEY, SILVER_PARTITIONS, "delta")
 
 
+def test_delta_merge_statement(spark, tmp_path, monkeypatch):
+    """The package is absent here, so only the statement itself can be checked."""
+    statements = []
+    monkeypatch.setattr(upsert_module, "stored", lambda *args: spark.range(0))
+    monkeypatch.setattr(type(spark), "sql", lambda self, text: statements.append(text))
+    upsert(medallion.to_silver(bronze(spark, [line("A")])), str(tmp_path / "s"), KEY, SILVER_PARTITIONS, "delta")
+    monkeypatch.undo()
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(statements[0]).toString()
+    assert "MergeIntoTable" in parsed and "updatestaraction" in parsed and "insertstaraction" in parsed
+
+
 def test_refresh_silver_over_deliveries(spark, lake, tmp_path):
     first, second = tmp_path / "1.csv", tmp_path / "2.csv"
     write_csv(first, [line("A", quantity=1), line("B", day="2024-02-30"), line("C", quantity="two")])

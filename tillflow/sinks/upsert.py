@@ -36,12 +36,12 @@ def upsert(
         _merge_into_delta(incoming, path, key, partition_by)
         return
     _require_integral(incoming, partition_by)
-    incoming = staged(incoming, "upsert")
-    recover(spark, path, incoming.schema, partition_by)
+    recover(spark, path, incoming.schema, partition_by, key)
     current = stored(spark, path, incoming.schema)
     if current is None:
         overwrite(incoming, path, partition_by, [key])
         return
+    incoming = staged(incoming, "upsert")
 
     # Partitions that receive rows, and those the keys live in now: a corrected
     # date moves a row.  Only the key and partition columns are read for this.
@@ -56,7 +56,9 @@ def upsert(
     _publish(spark, path, incoming.schema, partition_by, key)
 
 
-def recover(spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str], key: str | None = None) -> bool:
+def recover(
+    spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str], key: str
+) -> bool:
     """Finish an upsert that stopped while swapping partitions in; True if there was one."""
     state = stored(spark, _pending(path, "state"), _STATE)
     if state is None or state.first() is None or state.first()["state"] != "publishing":
@@ -65,10 +67,12 @@ def recover(spark: SparkSession, path: str, schema: StructType, partition_by: Se
     return True
 
 
-def _publish(spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str], key: str | None) -> None:
+def _publish(
+    spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str], key: str
+) -> None:
     rows = stored(spark, _pending(path, "rows"), schema)
     touched = spark.read.parquet(_pending(path, "touched"))
-    overwrite_partitions(rows, path, partition_by, [key] if key else ())
+    overwrite_partitions(rows, path, partition_by, [key])
     # A partition that lost all its rows gets no files from the write above.
     emptied = touched.exceptAll(rows.select(*partition_by).distinct())
     data_columns = [c for c in schema.names if c not in partition_by]

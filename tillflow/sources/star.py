@@ -72,8 +72,7 @@ def with_store_attributes(df: DataFrame, spark: SparkSession, folder: str) -> Da
     """Attach store name and region.
 
     One join per table, so that each right side is a plain scan whose size the
-    optimizer knows: it broadcasts suppliers only below its size threshold.
-    Nations and regions are fixed lists of 25 and 5 rows.
+    optimizer knows: it broadcasts a table below its threshold and shuffles else.
     """
     suppliers = _table(spark, folder, "supplier").select(
         F.concat(F.lit("S"), "s_suppkey").alias("store_id"),
@@ -88,8 +87,8 @@ def with_store_attributes(df: DataFrame, spark: SparkSession, folder: str) -> Da
     )
     return (
         df.join(suppliers, "store_id", "left")
-        .join(F.broadcast(nations), "n_nationkey", "left")
-        .join(F.broadcast(regions), "r_regionkey", "left")
+        .join(nations, "n_nationkey", "left")
+        .join(regions, "r_regionkey", "left")
         .drop("n_nationkey", "r_regionkey")
     )
 
