@@ -12,19 +12,19 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.functions.money import to_double
 from tillflow.operators.contracts import all_violations
 from tillflow.operators.dedupe import latest_per_key
 from tillflow.operators.enrich import enriched, silver_rows, typed
 from tillflow.operators.merge import merged
-from tillflow.operators.quality import REASONS, accepted, rejected
+from tillflow.operators.quality import accepted, rejected
 from tillflow.operators.rank import rank_distributed
 from tillflow.plans import gold, serving
-from tillflow.schemas import KEY
+from tillflow.schemas import KEY, REASONS
 from tillflow.settings import configure
 from tillflow.sources.landing import with_load_metadata
 from tillflow.sources.staging import staged
 from tillflow.sources.star import FACT_TIE_BREAK, disturbed_facts, sale_facts, with_attributes
-from tillflow.functions.money import to_double
 
 # --- Spark side ----------------------------------------------------------------
 

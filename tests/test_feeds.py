@@ -2,7 +2,7 @@ import pytest
 from sales import line, random_lines, write_csv
 
 from tillflow.plans import medallion
-from tillflow.sources.lake import read_bronze, read_silver
+from tillflow.sources.lake import read_bronze, read_quarantine, read_silver
 from tillflow.streaming import feeds
 
 
@@ -42,7 +42,7 @@ def test_silver_follows_bronze(spark, lake, landing):
         drain(feeds.feed_silver(spark, lake, max_files=1))
         silver = {r["transaction_id"]: (r["quantity"], r["month"]) for r in read_silver(spark, lake).collect()}
         assert silver == {"A": (5, 5), "C": (2, 3)}
-        rejects = spark.read.parquet(lake.quarantine_stream).collect()
+        rejects = read_quarantine(spark, lake).collect()
         assert [(r["transaction_id"], r["reject_reasons"]) for r in rejects] == [("B", ["bad_quantity"])]
 
 
@@ -61,7 +61,7 @@ def test_replayed_batch_leaves_the_same_tables(spark, lake, landing, monkeypatch
     monkeypatch.undo()
     drain(feeds.feed_silver(spark, lake))
     assert read_silver(spark, lake).count() == 1
-    assert spark.read.parquet(lake.quarantine_stream).count() == 1
+    assert read_quarantine(spark, lake).count() == 1
 
 
 def test_wrong_header_stops_the_feed(spark, lake, landing):

@@ -6,9 +6,9 @@ from sales import LOADED, bronze, line, priced, random_lines
 
 from tillflow.operators.dedupe import latest_per_key
 from tillflow.operators.enrich import silver_rows
-from tillflow.operators.quality import REASONS, accepted, rejected
+from tillflow.operators.quality import accepted, rejected
 from tillflow.plans.medallion import to_silver
-from tillflow.schemas import SILVER
+from tillflow.schemas import REASONS, SILVER
 
 LATER = LOADED + datetime.timedelta(days=1)
 

@@ -9,7 +9,7 @@ from tillflow.plans import medallion
 from tillflow.schemas import SILVER, SILVER_PARTITIONS
 from tillflow.sinks import upsert as upsert_module
 from tillflow.sinks.upsert import recover, upsert
-from tillflow.sources.lake import Lake, read_silver, stored
+from tillflow.sources.lake import Lake, read_quarantine, read_silver, stored
 
 KEY = "transaction_id"
 
@@ -119,6 +119,7 @@ def test_refresh_silver_over_deliveries(spark, lake, tmp_path):
     first, second = tmp_path / "1.csv", tmp_path / "2.csv"
     write_csv(first, [line("A", quantity=1), line("B", day="2024-02-30"), line("C", quantity="two")])
     write_csv(second, [line("A", quantity=3), line("D")])
+    assert read_quarantine(spark, lake).count() == 0
     medallion.ingest(spark, lake, str(first))
     medallion.refresh_silver(spark, lake)
     assert content(spark, lake.silver) == expected([line("A", quantity=1)])
@@ -126,7 +127,7 @@ def test_refresh_silver_over_deliveries(spark, lake, tmp_path):
     for _ in range(2):
         medallion.refresh_silver(spark, lake)
         assert content(spark, lake.silver) == expected([line("A", quantity=3), line("D")])
-        rejects = spark.read.parquet(lake.quarantine).collect()
+        rejects = read_quarantine(spark, lake).collect()
         assert {r[KEY]: r["reject_reasons"] for r in rejects} == {
             "B": ["bad_date"],
             "C": ["bad_quantity", "corrupt_record"],
@@ -134,7 +135,7 @@ def test_refresh_silver_over_deliveries(spark, lake, tmp_path):
         assert len(rejects) == 2
     medallion.refresh_silver(spark, lake, since="2099-01-01")
     assert content(spark, lake.silver) == expected([line("A", quantity=3), line("D")])
-    assert len(spark.read.parquet(lake.quarantine).collect()) == 2
+    assert len(read_quarantine(spark, lake).collect()) == 2
 
 
 def test_silver_reads_back_with_its_fixed_schema(spark, tmp_path):

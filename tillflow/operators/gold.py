@@ -14,61 +14,78 @@ from tillflow.functions.calendar import week_year as week_year_of
 from tillflow.functions.money import rounded_mean, to_double
 
 
-def _rows() -> Column:
+# Measures that several tables share.
+def _revenue() -> Column:
+    return F.sum("net_revenue")
+
+
+def _units() -> Column:
+    return F.sum("quantity")
+
+
+def _lines() -> Column:
     return F.count(F.lit(1))
 
 
 def _mean(column: str, times: int = 1) -> Column:
-    return rounded_mean(F.sum(column) * times, _rows())
+    return rounded_mean(F.sum(column) * times, _lines())
+
+
+def _table(silver: DataFrame, grain: list[str], **measures: Column) -> DataFrame:
+    return silver.groupBy(*grain).agg(*[measure.alias(name) for name, measure in measures.items()])
 
 
 def daily_revenue(silver: DataFrame) -> DataFrame:
     """Revenue, volume and customers per day and region."""
-    return silver.groupBy("date", "store_region").agg(
-        F.sum("net_revenue").alias("total_revenue"),
-        F.sum("gross_revenue").alias("gross_revenue"),
-        F.sum("discount_amount").alias("total_discounts"),
-        F.sum("quantity").alias("units_sold"),
-        _rows().alias("transaction_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        _mean("net_revenue").alias("avg_basket_value"),
+    return _table(
+        silver,
+        ["date", "store_region"],
+        total_revenue=_revenue(),
+        gross_revenue=F.sum("gross_revenue"),
+        total_discounts=F.sum("discount_amount"),
+        units_sold=_units(),
+        transaction_count=_lines(),
+        unique_customers=F.count_distinct("customer_id"),
+        avg_basket_value=_mean("net_revenue"),
     )
 
 
 def product_totals(silver: DataFrame) -> DataFrame:
     """Lifetime figures per product, not yet ranked."""
-    return silver.groupBy("product_id", "product_name", "category").agg(
-        F.sum("net_revenue").alias("total_revenue"),
-        F.sum("quantity").alias("total_units_sold"),
-        _mean("unit_price").alias("avg_selling_price"),
-        _mean("discount_pct", times=100).alias("avg_discount_pct"),
-        _rows().alias("total_transactions"),
-        F.count_distinct("store_id").alias("stores_selling"),
+    return _table(
+        silver,
+        ["product_id", "product_name", "category"],
+        total_revenue=_revenue(),
+        total_units_sold=_units(),
+        avg_selling_price=_mean("unit_price"),
+        avg_discount_pct=_mean("discount_pct", times=100),
+        total_transactions=_lines(),
+        stores_selling=F.count_distinct("store_id"),
     )
 
 
 def store_totals(silver: DataFrame) -> DataFrame:
     """Lifetime figures per store, not yet ranked."""
-    return silver.groupBy("store_id", "store_name", "store_region").agg(
-        F.sum("net_revenue").alias("total_revenue"),
-        F.sum("quantity").alias("total_units_sold"),
-        _rows().alias("total_transactions"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        _mean("net_revenue").alias("avg_transaction_value"),
-        F.count_distinct("product_id").alias("unique_products_sold"),
+    return _table(
+        silver,
+        ["store_id", "store_name", "store_region"],
+        total_revenue=_revenue(),
+        total_units_sold=_units(),
+        total_transactions=_lines(),
+        unique_customers=F.count_distinct("customer_id"),
+        avg_transaction_value=_mean("net_revenue"),
+        unique_products_sold=F.count_distinct("product_id"),
     )
 
 
 def category_trends(silver: DataFrame, week_year: str = "calendar") -> DataFrame:
     """Weekly revenue and volume per category."""
-    return (
-        silver.withColumn("year", week_year_of("date", week_year))
-        .groupBy("year", "week", "category")
-        .agg(
-            F.sum("net_revenue").alias("weekly_revenue"),
-            F.sum("quantity").alias("weekly_units_sold"),
-            F.count_distinct("product_id").alias("distinct_products"),
-        )
+    return _table(
+        silver.withColumn("year", week_year_of("date", week_year)),
+        ["year", "week", "category"],
+        weekly_revenue=_revenue(),
+        weekly_units_sold=_units(),
+        distinct_products=F.count_distinct("product_id"),
     )
 
 

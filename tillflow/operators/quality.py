@@ -5,9 +5,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.schemas import CORRUPT, KEY, MAX_DISCOUNT, MAX_GROSS, MAX_PRICE
+from tillflow.schemas import CORRUPT, KEY, MAX_DISCOUNT, MAX_GROSS, MAX_PRICE, REASONS
 
-REASONS = "reject_reasons"
 _DATE = "^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
 
 

@@ -5,6 +5,7 @@ they have to equal those of the data files and serving tables users already own.
 """
 
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DateType,
     DecimalType,
@@ -52,6 +53,10 @@ LOAD_METADATA = _struct(
 BRONZE = StructType(RAW_WITH_CORRUPT.fields + LOAD_METADATA.fields)
 BRONZE_PARTITIONS = ["pipeline_run_date"]
 
+# What the quarantine adds to a rejected Bronze row.
+REASONS = "reject_reasons"
+REASONS_FIELD = StructField(REASONS, ArrayType(StringType()))
+
 # Prices and discounts keep six places so that sub-cent prices survive the
 # move from binary doubles; revenue is money in cents.
 PRICE = DecimalType(18, 6)

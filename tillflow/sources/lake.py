@@ -2,12 +2,13 @@
 
 import datetime
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillflow.schemas import BRONZE, GOLD, SILVER
+from tillflow.schemas import BRONZE, GOLD, REASONS_FIELD, SILVER
 
 Date = datetime.date | str
 
@@ -87,9 +88,7 @@ def read_bronze(spark: SparkSession, lake: Lake, since: Date | None = None) -> D
         stored(spark, lake.bronze_stream, BRONZE),
     ]
     found = [table for table in found if table is not None]
-    bronze = _required(found[0] if found else None, "Bronze table")
-    for other in found[1:]:
-        bronze = bronze.unionByName(other)
+    bronze = _required(reduce(DataFrame.unionByName, found) if found else None, "Bronze table")
     if since is not None:
         bronze = bronze.filter(F.col("pipeline_run_date") >= F.lit(since).cast("date"))
     return bronze
@@ -99,6 +98,14 @@ def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
     return _required(stored(spark, lake.silver, SILVER, lake.table_format), "Silver table")
 
 
+def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Rejected Bronze rows with their reasons, from batch loads and the streaming feed."""
+    schema = StructType([*BRONZE.fields, REASONS_FIELD])
+    found = [stored(spark, path, schema) for path in (lake.quarantine, lake.quarantine_stream)]
+    found = [table.select(*schema.names) for table in found if table is not None]
+    return reduce(DataFrame.unionByName, found, spark.createDataFrame([], schema))
+
+
 def latest_gold_version(spark: SparkSession, lake: Lake) -> str | None:
     """The version published last; one short line per publication is read."""
     versions = stored(spark, lake.gold_versions, _VERSIONS)
