@@ -26,22 +26,22 @@ def rank_distributed(df: DataFrame, by: str, name: str) -> DataFrame:
     partition whatever the data look like; the last one has a row per
     super-range, of which a bigint allows 2**24 and ten billion in money fill one.
     """
-    values = df.select(by).distinct().withColumn("_units", _units(df, by))
-    values = values.withColumn("_range", F.shiftright("_units", RANGE_BITS)).withColumn(
-        "_super", F.shiftright("_units", 2 * RANGE_BITS)
-    )
-    inside = Window.partitionBy("_range").orderBy(F.col("_units").desc_nulls_last())
+    df = df.withColumn("_units", _units(df, by))
+    values = df.select("_units").distinct().withColumn("_range", F.shiftright("_units", RANGE_BITS))
+    inside = Window.partitionBy("_range").orderBy(F.desc("_units"))
     positions = values.withColumn("_position", F.row_number().over(inside))
 
-    ranges = values.groupBy("_super", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranges = values.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_super", F.shiftright("_range", RANGE_BITS)
+    )
     supers = ranges.groupBy("_super").agg(F.sum("_n").alias("_n"))
-    ranges = ranges.select("_range", _count_above("_range", "_super").alias("_above"))
-    supers = supers.select("_super", _count_above("_super").alias("_far_above"))
+    higher_ranges = ranges.select("_super", "_range", _count_above("_range", "_super").alias("_near"))
+    higher_supers = supers.select("_super", _count_above("_super").alias("_far"))
+    above = higher_ranges.join(higher_supers, "_super").select("_range", "_near", "_far")
 
-    ranks = _join(_join(positions, ranges, "_range"), supers, "_super").select(
-        by, (F.col("_position") + F.col("_above") + F.col("_far_above")).cast("int").alias(name)
-    )
-    return _join(df, ranks, by)
+    rank = (F.col("_position") + F.col("_near") + F.col("_far")).cast("int")
+    ranks = positions.join(above, "_range").select("_units", rank.alias(name))
+    return df.join(ranks, "_units").drop("_units")
 
 
 def dense_rank_desc(stored: DataFrame, by: str, name: str = "revenue_rank") -> DataFrame:
@@ -52,20 +52,18 @@ def dense_rank_desc(stored: DataFrame, by: str, name: str = "revenue_rank") -> D
 
 
 def _units(df: DataFrame, by: str) -> Column:
+    """The value in whole units; a missing value ranks below all others."""
     kind = df.schema[by].dataType
     if isinstance(kind, DecimalType):
-        return (F.col(by) * F.lit(10**kind.scale)).cast("bigint")
-    if kind.typeName() in ("byte", "short", "integer", "long"):
-        return F.col(by).cast("bigint")
-    raise TypeError(f"{by} must be a decimal or a whole number to be ranked, not {kind.simpleString()}")
+        units = F.col(by) * F.lit(10**kind.scale)
+    elif kind.typeName() in ("byte", "short", "integer", "long"):
+        units = F.col(by)
+    else:
+        raise TypeError(f"{by} must be a decimal or a whole number to be ranked, not {kind.simpleString()}")
+    return F.coalesce(units.cast("bigint"), F.lit(-(2**63)))
 
 
 def _count_above(order: str, partition: str | None = None) -> Column:
     window = Window.partitionBy(partition) if partition else Window
-    window = window.orderBy(F.col(order).desc_nulls_last())
+    window = window.orderBy(F.desc(order))
     return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-
-def _join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    right = right.withColumnRenamed(key, "_key")
-    return left.join(right, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
