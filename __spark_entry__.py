@@ -26,6 +26,15 @@ from tillflow.sources.landing import with_load_metadata
 from tillflow.sources.staging import staged
 from tillflow.sources.star import FACT_TIE_BREAK, disturbed_facts, sale_facts, with_attributes
 
+try:
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as pipeline
+    from tillflow.llm import queries as llm
+except ModuleNotFoundError as missing:  # without the subpackage and its pipeline, the other queries stay
+    if missing.name not in ("corpus_pipeline", "tillflow.llm", "tillflow.llm.queries"):
+        raise
+    llm = None
+
 # --- Spark side ----------------------------------------------------------------
 
 
@@ -262,7 +271,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def configured(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
         return wraps(query)(lambda spark, folder: query(configure(spark), folder))
 
-    return {query.__name__: configured(query) for query in _QUERIES}
+    found = {query.__name__: configured(query) for query in _QUERIES}
+    if llm:
+        found |= llm.queries() | {"pipeline": pipeline}
+    return found
 
 
 # --- SQL side ------------------------------------------------------------------
@@ -485,7 +497,7 @@ def oracle_sql() -> dict[str, str]:
         "date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' AND store_region ILIKE '%a_i%'"
     )
     silver = _silver_sql("facts")
-    return {
+    found = {
         "bronze_rows_by_run": f"""WITH {_FACTS}
             SELECT 'lineitem.parquet' AS source_file, CAST(ingestion_timestamp AS DATE) AS pipeline_run_date,
                    count(*) AS row_count
@@ -559,3 +571,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM trends WHERE year = 1997 AND category ILIKE '%m%'""",
         "gold_contract_violations": _contract_sql(),
     }
+    if llm:
+        found |= llm.SQL | ({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})
+    return found

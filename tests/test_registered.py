@@ -11,11 +11,14 @@ def con():
     return database(FOLDER)
 
 
+OWN = [query.__name__ for query in registered._QUERIES]
+
+
 def test_every_query_has_a_twin():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+    assert set(OWN) <= registered.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, FOLDER, name) is None
 
