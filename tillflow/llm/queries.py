@@ -5,19 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import simhash
+from tillflow.llm import bpe, packing, secrets, simhash
 from tillflow.llm.work import prepared, table
 
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY)
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-_QUERIES = [op7_simhash]
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scanned(table(spark, folder, "documents"), ["doc_id"])
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans")
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.with_token_counts(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
+
+
+_QUERIES = [op3_best_fit_packing, op7_simhash, op8_secret_scan, op9_token_counts]
 
 SQL: dict[str, str] = {}
 
