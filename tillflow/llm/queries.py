@@ -6,20 +6,45 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, packing, secrets, simhash
+from tillflow.llm import bpe, decontamination, language, packing, secrets, simhash
 from tillflow.llm.work import prepared, table
 
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    indexed = decontamination.index(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
+    found = decontamination.contamination(indexed, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY)
 
 
+def _remainder(modulus: int) -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", _remainder(5) == 0)
+    model = language.learn(docs.where("NOT held_out"))
+    found = language.identified(docs, model, ["doc_id", "held_out"])
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["lang"], s["start"], s["end"]))
+    return found.withColumn("spans", F.array_join(spans, ","))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -35,7 +60,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.with_token_counts(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
 
 
-_QUERIES = [op3_best_fit_packing, op7_simhash, op8_secret_scan, op9_token_counts]
+_QUERIES = [op1_decontamination, op3_best_fit_packing, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts]
 
 SQL: dict[str, str] = {}
 

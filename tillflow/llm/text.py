@@ -56,6 +56,7 @@ class Words:
     data: np.ndarray  # bytes of the words, one after the other
     at: np.ndarray  # where each word begins in data, and the end
     first: np.ndarray  # first word of each row, and the end
+    spans: tuple[np.ndarray, np.ndarray] | None = None  # begin and end of each word in the bytes of all texts
 
     def __len__(self) -> int:
         return len(self.at) - 1
@@ -98,4 +99,4 @@ def words(texts: pa.Array, member: np.ndarray, lower: bool = True) -> Words:
     at = np.zeros(len(start) + 1, np.int64)
     np.cumsum(stop - start, out=at[1:])
     kept = data[inside]
-    return Words(LOWER[kept] if lower else kept, at, np.searchsorted(start, offsets))
+    return Words(LOWER[kept] if lower else kept, at, np.searchsorted(start, offsets), (start, stop))
