@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.llm import varint
 from tillflow.llm.text import ALPHANUMERIC, slices, words
 from tillflow.llm.work import arrow_map
 from tillflow.sources.staging import staged
@@ -27,35 +28,6 @@ WIDTH = 10
 STARTS = ""  # the term under which a segment lists where its documents begin
 
 
-def packed_positions(positions: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """Rising positions of consecutive lists (``counts`` each) as one binary value per list."""
-    heads = np.cumsum(counts) - counts
-    steps = np.diff(positions, prepend=0)
-    steps[heads[counts > 0]] = positions[heads[counts > 0]]
-    width = np.ones(len(steps), np.int64)
-    for bits in (7, 14, 21, 28, 35):
-        width += steps >= 1 << bits
-    ends = np.cumsum(width)
-    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    at, left, more = ends - width, steps, width
-    while len(at):
-        out[at] = left & 127 | (more > 1) << 7
-        on = more > 1
-        at, left, more = at[on] + 1, left[on] >> 7, more[on] - 1
-    bounds = np.concatenate([[0], ends])[np.append(heads, len(steps))].astype(np.int32)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(out)])
-
-
-def unpacked_positions(value: bytes) -> np.ndarray:
-    data = np.frombuffer(value, np.uint8)
-    if not len(data):
-        return np.zeros(0, np.int64)
-    begins = np.flatnonzero(np.concatenate([[True], data[:-1] < 128]))
-    sizes = np.diff(np.append(begins, len(data)))
-    place = np.arange(len(data)) - np.repeat(begins, sizes)
-    return np.cumsum(np.add.reduceat((data & 127).astype(np.int64) << 7 * place, begins))
-
-
 _number = 0
 
 
@@ -81,7 +53,7 @@ def _indexed(batch: pa.RecordBatch, text: str, keys: list[str]) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(n, segment)), pa.concat_arrays([pa.array([STARTS]), terms]), pa.array(counts),
-                packed_positions(lists, counts), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
+                varint.packed(lists, counts), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
                 *(pa.nulls(n, part.column(k).type) for k in keys),
             ],
             ["segment", "term", "n", "postings", "ordinal", "n_words", *keys],
@@ -167,7 +139,7 @@ def _matched(lists: pa.Table, asked: pa.Table, width: int, slack: int | None) ->
 
     def positions(term: str) -> np.ndarray:
         if term not in decoded:
-            decoded[term] = unpacked_positions(stored[term])
+            decoded[term] = varint.unpacked(stored[term])
         return decoded[term]
 
     starts = positions(STARTS)

@@ -19,6 +19,7 @@ from tillflow.sources.staging import staged
 
 CAPACITY = 2048
 SHARE = 32_768  # pieces that one task packs together, on average
+HELD_BYTES = 64 << 20  # and no more bytes at a time, if it holds the ids as well
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,12 +104,12 @@ def _packed(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.Rec
         numbers = (partition << 36) + used + bins
         used += len(gaps)
         full = rows.append_column("sequence_id", pa.array(numbers)).append_column("offset", pa.array(offsets))
-        yield from full.to_batches()
+        yield from full.to_batches(max_chunksize=4096)
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= 4 * SHARE:
+        if sum(b.num_rows for b in held) >= 4 * SHARE or sum(b.nbytes for b in held) >= HELD_BYTES:
             yield from packed(held)
             held = []
     if held:
@@ -120,7 +121,8 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Pieces are dealt by hash to tasks of about ``SHARE`` rows, and each task packs its own in
     decreasing order of length; so a few sequences in ten thousand are less than full for the
-    dealing, whatever the size of the input.  A task never holds more than four shares.
+    dealing, whatever the size of the input.  A task never holds more than four shares or
+    ``HELD_BYTES``.
     """
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
     shares = max(1, -(-cut.count() // SHARE))

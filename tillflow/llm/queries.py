@@ -9,13 +9,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, decontamination, language, packing, secrets, simhash
+from tillflow.llm import bpe, decontamination, language, lm, packing, secrets, simhash
 from tillflow.llm.work import prepared, table
 
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def _remainder(modulus: int) -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     indexed = decontamination.index(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
     found = decontamination.contamination(indexed, table(spark, folder, "benchmark"))
@@ -29,12 +33,15 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY)
+def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", _remainder(7) == 2)
+    model = lm.learn(docs.where("NOT held_out"))
+    found = lm.scored(docs, model, ["doc_id", "held_out"])
+    return found.withColumn("train_tokens", F.lit(model.vocabulary.tokens).cast("long"))
 
 
-def _remainder(modulus: int) -> Column:
-    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY)
 
 
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,7 +67,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.with_token_counts(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
 
 
-_QUERIES = [op1_decontamination, op3_best_fit_packing, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts]
+_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts]
 
 SQL: dict[str, str] = {}
 
