@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, decontamination, language, lm, packing, secrets, simhash
+from tillflow.llm import bpe, decontamination, language, lm, packing, reputation, secrets, simhash
 from tillflow.llm.work import prepared, table
 
 
@@ -44,6 +44,24 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY)
 
 
+URL_RULES = [
+    reputation.Rule("block", "net", "/"),
+    reputation.Rule("allow", "example.net", "/en/"),
+    reputation.Rule("block", "example.com", "/de/"),
+    reputation.Rule("allow", "org", "/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A page was made of the document whose number its path tells; it is bad if that is toxic or of low quality."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    number = F.regexp_extract(reputation.path(F.col("url")), r"^/[^/]*/([0-9]{1,18})", 1)
+    numbered = pages.select(reputation.host(F.col("url")).alias("host"), number.try_cast("bigint").alias("doc_id"))
+    labels = table(spark, folder, "labels").groupBy("doc_id").agg(F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    outcomes = numbered.join(labels, "doc_id", "left").select("host", "bad")
+    return reputation.judged(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", _remainder(5) == 0)
     model = language.learn(docs.where("NOT held_out"))
@@ -67,9 +85,67 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.with_token_counts(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
 
 
-_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts]
-
-SQL: dict[str, str] = {}
+_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op5_url_filter, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts]
+
+_SUFFIXES = ", ".join(f"'{s}'" for s in reputation.TWO_LABELS)
+
+
+def _level_sql(name: str, source: str, prior: str) -> str:
+    """CTEs with the spread of a level and its posterior means."""
+    return f"""
+{name}_spread AS (
+  SELECT CASE WHEN coalesce(sum((n - 1) * n * {prior} * (1 - {prior})), 0) = 0 THEN {reputation.LEAST_SPREAD}
+         ELSE least(greatest(sum((bad - n * {prior}) ** 2 - n * {prior} * (1 - {prior}))
+                             / sum((n - 1) * n * {prior} * (1 - {prior})), {reputation.LEAST_SPREAD}), {reputation.MOST_SPREAD}) END AS spread
+  FROM {source} WHERE n > 1),
+{name}_posterior AS (
+  SELECT s.*, n + (1 - spread) / spread AS weight,
+         (bad + (1 - spread) / spread * {prior}) / (n + (1 - spread) / spread) AS mean
+  FROM {source} s, {name}_spread)"""
+
+
+SQL: dict[str, str] = {
+    "op5_url_filter": f"""
+WITH urls AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                            '{reputation.UPPER}', '{reputation.LOWER}') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+marks AS (SELECT doc_id, max(toxic = 1 OR quality = 0) AS bad FROM labels GROUP BY doc_id),
+outcomes AS (
+  SELECT host, bad FROM urls
+  LEFT JOIN marks ON doc_id = TRY_CAST(regexp_extract(path, '^/[^/]*/([0-9]{{1,18}})', 1) AS BIGINT)),
+hosts AS (
+  SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE bad) AS DOUBLE) AS bad,
+         list_reverse(string_split(host, '.')) AS parts,
+         array_to_string(list_reverse(parts[1:2]), '.') IN ({_SUFFIXES}) AS two,
+         array_to_string(list_reverse(parts[1:(CASE WHEN two THEN 2 ELSE 1 END)]), '.') AS suffix,
+         array_to_string(list_reverse(parts[1:(CASE WHEN two THEN 3 ELSE 2 END)]), '.') AS domain
+  FROM outcomes GROUP BY host),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
+suffixes AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+         (SELECT CASE WHEN sum(n) > 0 THEN (sum(bad) + 1) / (sum(n) + 2) ELSE 0.5 END FROM domains) AS prior
+  FROM domains GROUP BY suffix),
+{_level_sql('suffix', 'suffixes', 'prior')},
+middle AS (SELECT d.*, p.mean AS prior FROM domains d JOIN suffix_posterior p USING (suffix)),
+{_level_sql('domain', 'middle', 'prior')},
+lowest AS (SELECT h.*, p.mean AS prior FROM hosts h JOIN domain_posterior p USING (domain)),
+{_level_sql('host', 'lowest', 'prior')},
+blocked AS (
+  SELECT host, mean - {reputation.DEVIATIONS} * sqrt(mean * (1 - mean) / (weight + 1)) > {reputation.THRESHOLD} AS bad_host
+  FROM host_posterior),
+rules(says, covers, prefix) AS (VALUES {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}),
+fitting AS (
+  SELECT host, path, arg_max(covers || prefix, length(covers || prefix)) AS rule,
+         arg_max(says, length(covers || prefix)) AS says
+  FROM (SELECT DISTINCT host, path FROM urls) JOIN rules
+    ON (host = covers OR ends_with(host, '.' || covers)) AND starts_with(path, prefix)
+  GROUP BY ALL)
+SELECT page_id, host, path, rule,
+       coalesce(says, CASE WHEN bad_host THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls LEFT JOIN fitting USING (host, path) LEFT JOIN blocked USING (host)""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
