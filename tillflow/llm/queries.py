@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, decontamination, language, lm, packing, reputation, secrets, simhash
-from tillflow.llm.work import prepared, table
+from tillflow.llm import bpe, decontamination, embeddings, language, lm, packing, reputation, secrets, simhash, warc
+from tillflow.llm.work import new_folder, prepared, table
 
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,12 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY)
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = new_folder(spark, "warc")
+    warc.write(table(spark, folder, "pages"), archive)
+    return warc.read(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 URL_RULES = [
     reputation.Rule("block", "net", "/"),
     reputation.Rule("allow", "example.net", "/en/"),
@@ -85,7 +91,11 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.with_token_counts(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
 
 
-_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op5_url_filter, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts]
+def op10_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
+_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op4_warc, op5_url_filter, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts, op10_embedding_duplicates]
 
 _SUFFIXES = ", ".join(f"'{s}'" for s in reputation.TWO_LABELS)
 
