@@ -190,7 +190,7 @@ def _spans(split: Words, labels: np.ndarray, texts: pa.Array) -> tuple[np.ndarra
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (labels[1:] != labels[:-1])
     head = np.flatnonzero(new)
-    tail = np.append(head[1:], len(rows)) - 1
+    tail = np.append(head[1:], len(rows))[: len(head)] - 1
     data, offsets = raw(texts)
     before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     row = rows[head]

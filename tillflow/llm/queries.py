@@ -100,18 +100,27 @@ _QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op4_w
 _SUFFIXES = ", ".join(f"'{s}'" for s in reputation.TWO_LABELS)
 
 
-def _level_sql(name: str, source: str, prior: str) -> str:
-    """CTEs with the spread of a level and its posterior means."""
+def _spread_sql(name: str, source: str) -> str:
+    noise = "n * prior * (1 - prior)"
     return f"""
 {name}_spread AS (
-  SELECT CASE WHEN coalesce(sum((n - 1) * n * {prior} * (1 - {prior})), 0) = 0 THEN {reputation.LEAST_SPREAD}
-         ELSE least(greatest(sum((bad - n * {prior}) ** 2 - n * {prior} * (1 - {prior}))
-                             / sum((n - 1) * n * {prior} * (1 - {prior})), {reputation.LEAST_SPREAD}), {reputation.MOST_SPREAD}) END AS spread
-  FROM {source} WHERE n > 1),
-{name}_posterior AS (
-  SELECT s.*, n + (1 - spread) / spread AS weight,
-         (bad + (1 - spread) / spread * {prior}) / (n + (1 - spread) / spread) AS mean
-  FROM {source} s, {name}_spread)"""
+  SELECT CASE WHEN coalesce(sum((n - 1) * {noise}), 0) = 0 THEN {reputation.LEAST_SPREAD}
+         ELSE least(greatest(sum((bad - n * prior) ** 2 - {noise}) / sum((n - 1) * {noise}),
+                             {reputation.LEAST_SPREAD}), {reputation.MOST_SPREAD}) END AS spread
+  FROM {source} WHERE n > 1)"""
+
+
+def _placed_sql(name: str, members: str, above: str, key: str) -> str:
+    """CTEs with the prior of each member from the rest of its group, and its strength."""
+    return f"""
+{name}_prior AS (
+  SELECT m.*, a.n - m.n + a.strength AS certain,
+         (a.bad - m.bad + a.strength * a.prior) / (a.n - m.n + a.strength) AS prior
+  FROM {members} m JOIN {above} a USING ({key})),
+{_spread_sql(name, f"{name}_prior")},
+{name}_placed AS (
+  SELECT p.*, greatest(1 / (spread + 1 / (certain + 1)) - 1, {reputation.LEAST_STRENGTH}) AS strength
+  FROM {name}_prior p, {name}_spread)"""
 
 
 SQL: dict[str, str] = {
@@ -137,14 +146,14 @@ suffixes AS (
   SELECT suffix, sum(n) AS n, sum(bad) AS bad,
          (SELECT CASE WHEN sum(n) > 0 THEN (sum(bad) + 1) / (sum(n) + 2) ELSE 0.5 END FROM domains) AS prior
   FROM domains GROUP BY suffix),
-{_level_sql('suffix', 'suffixes', 'prior')},
-middle AS (SELECT d.*, p.mean AS prior FROM domains d JOIN suffix_posterior p USING (suffix)),
-{_level_sql('domain', 'middle', 'prior')},
-lowest AS (SELECT h.*, p.mean AS prior FROM hosts h JOIN domain_posterior p USING (domain)),
-{_level_sql('host', 'lowest', 'prior')},
+{_spread_sql('suffix', 'suffixes')},
+suffix_placed AS (SELECT s.*, (1 - spread) / spread AS strength FROM suffixes s, suffix_spread),
+{_placed_sql('domain', 'domains', 'suffix_placed', 'suffix')},
+{_placed_sql('host', 'hosts', 'domain_placed', 'domain')},
+posterior AS (SELECT host, n + strength AS weight, (bad + strength * prior) / (n + strength) AS mean FROM host_placed),
 blocked AS (
   SELECT host, mean - {reputation.DEVIATIONS} * sqrt(mean * (1 - mean) / (weight + 1)) > {reputation.THRESHOLD} AS bad_host
-  FROM host_posterior),
+  FROM posterior),
 rules(says, covers, prefix) AS (VALUES {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}),
 fitting AS (
   SELECT host, path, arg_max(covers || prefix, length(covers || prefix)) AS rule,

@@ -2,9 +2,10 @@
 
 Labelled page outcomes are beta-binomial: a suffix's share of bad pages is drawn around the
 overall share, a registered domain's around its suffix's, a host's around its domain's.  The
-strength of each level comes from the data, by moments.  A host is blocked if the lower bound
-of its posterior share of bad pages passes a threshold; hosts without labels have the
-posterior of their domain or suffix, and its width.
+strength of each level comes from the data, by moments.  What a member learns from its level
+comes from the other members, so that no page counts twice, and is as uncertain as they leave
+it.  A host is blocked if the lower bound of its posterior share of bad pages passes a
+threshold; hosts without labels have the posterior of their domain or suffix, and its width.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ TWO_LABELS = (
 ).split()
 
 LEAST_SPREAD, MOST_SPREAD = 1e-3, 0.999  # of the share of variance between the members of a level
+LEAST_STRENGTH = 2.0  # pseudo-counts of a prior, at least: one bad page is no proof, however pure hosts are
 DEVIATIONS = 1.6448536269514722  # of the posterior that its bound lies below its mean (95 in 100)
 THRESHOLD = 0.5
 
@@ -73,13 +75,24 @@ def _spread(groups: DataFrame, mean: Column) -> float:
     return min(max(found, LEAST_SPREAD), MOST_SPREAD)
 
 
-def _level(groups: DataFrame, name: str) -> DataFrame:
-    """Posterior ``mean`` and ``weight`` (pseudo-counts) of each group, from its ``prior`` mean."""
-    spread = _spread(groups, F.col("prior"))
-    strength = (1 - spread) / spread
-    weight = F.col("n") + strength
-    mean = (F.col("bad") + strength * F.col("prior")) / weight
-    return groups.select(name, mean.alias("mean"), weight.alias("weight"), *(c for c in groups.columns if c not in (name, "prior")))
+def _placed(groups: DataFrame, above: DataFrame, key: str) -> DataFrame:
+    """Add ``prior`` and ``strength``: what the rest of the group above says about each member.
+
+    above: ``key``, its counts ``n_above`` and ``bad_above``, and its own ``prior_above`` and
+    ``strength_above``.  The variances of a member around its group and of the group's share
+    add up, so their pseudo-counts (plus one) add up inversely.
+    """
+    joined = groups.join(above, key)
+    weight = F.col("n_above") - F.col("n") + F.col("strength_above")
+    bad = F.col("bad_above") - F.col("bad") + F.col("strength_above") * F.col("prior_above")
+    joined = joined.withColumns({"prior": bad / weight, "certain": weight})
+    spread = _spread(joined, F.col("prior"))
+    inverse = F.lit(spread) + 1 / (F.col("certain") + 1)
+    return joined.withColumn("strength", F.greatest(1 / inverse - 1, F.lit(LEAST_STRENGTH)))
+
+
+def _above(groups: DataFrame, key: str) -> DataFrame:
+    return groups.select(key, *(F.col(c).alias(f"{c}_above") for c in ("n", "bad", "prior", "strength")))
 
 
 def reputations(outcomes: DataFrame) -> DataFrame:
@@ -96,9 +109,13 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = (total["bad"] + 1) / (total["n"] + 2) if total["n"] else 0.5
-    top = _level(suffixes.withColumn("prior", F.lit(overall)), "suffix").select("suffix", F.col("mean").alias("prior"))
-    middle = _level(domains.join(top, "suffix"), "domain").select("domain", F.col("mean").alias("prior"))
-    out = _level(hosts.join(middle, "domain"), "host")
+    spread = _spread(suffixes, F.lit(overall))
+    suffixes = suffixes.withColumns({"prior": F.lit(overall), "strength": F.lit((1 - spread) / spread)})
+    placed = _placed(domains, _above(suffixes, "suffix"), "suffix")
+    out = _placed(hosts, _above(placed, "domain"), "domain")
+    out = out.withColumn("weight", F.col("n") + F.col("strength"))
+    out = out.withColumn("mean", (F.col("bad") + F.col("strength") * F.col("prior")) / F.col("weight"))
+    out = out.select("host", "domain", "suffix", "n", "bad", "mean", "weight")
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return out.withColumn("bound", F.col("mean") - DEVIATIONS * deviation)
 
