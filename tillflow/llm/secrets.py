@@ -163,14 +163,19 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
 
     All rows stay, with all their columns; null texts stay null.
     """
-    found = staged(_with_parts(docs, text), "scanned")
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    marked = docs.withColumns({"hash__": F.xxhash64(whole), "size__": F.octet_length(whole)})
+    # Spans depend on the text alone: they are kept without the texts, one row for each text.
+    narrow = _with_parts(marked.select("hash__", "size__", F.col(f"`{text}`").alias("text__")), "text__")
+    found = staged(narrow.drop("text__").where(F.size(_PARTS) > 0), "scanned")
     ordered = Window.partitionBy("row").orderBy("start", "end")
     reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     islands = _spans(found).withColumn("opens", (F.coalesce(reached, F.lit(-1)) < F.col("start")).cast("int"))
     islands = islands.withColumn("island", F.sum("opens").over(ordered)).groupBy("row", "island")
     islands = islands.agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = islands.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts__"))
-    rows = found.join(cuts.withColumnRenamed("row", _ROW), _ROW, "left")
+    cuts = found.select("hash__", "size__", F.col(_ROW).alias("row")).join(cuts, "row").groupBy("hash__", "size__")
+    rows = marked.join(cuts.agg(F.first("cuts__").alias("cuts__")), ["hash__", "size__"], "left")
     body = F.col(f"`{text}`")
 
     def before(cut: Column, i: Column) -> Column:

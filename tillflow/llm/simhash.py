@@ -159,11 +159,17 @@ def deduplicated(
     Of repeated rows one stays.  Documents without words form one component.
     """
     columns = docs.columns
-    spare = "fingerprint" in columns
-    source = docs.withColumnRenamed("fingerprint", "fingerprint_given") if spare else docs
-    marked = staged(with_fingerprint(source, text, width), "fingerprinted")
-    found = groups(marked.select(id_column, "fingerprint"), id_column, distance, blocks)
-    kept = found.where("fingerprint = keeper").select("fingerprint", F.col("component_id").alias("kept_id"))
-    chosen = (marked["fingerprint"] == kept["fingerprint"]) & marked[id_column].eqNullSafe(kept["kept_id"])
-    rows = marked.join(kept, chosen, "left_semi").dropDuplicates(["fingerprint", id_column]).drop("fingerprint")
-    return rows.withColumnRenamed("fingerprint_given", "fingerprint").select(*(f"`{c}`" for c in columns))
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    hashed = docs.withColumns({"hash__": F.xxhash64(whole), "size__": F.octet_length(whole)})
+    narrow = hashed.select(F.col(id_column).alias("id__"), "hash__", "size__", F.col(f"`{text}`").alias("text__"))
+    marked = staged(with_fingerprint(narrow, "text__", width, keep_text=False), "fingerprints")
+    found = groups(marked, "id__", distance, blocks)
+    # The text that stays is one of the keeper's fingerprint under the smallest id; hash and
+    # size name it, so neither the texts nor their fingerprints are stored or made again.
+    kept = found.where("fingerprint = keeper").select("fingerprint", F.col("component_id").alias("id__"))
+    same = (marked["fingerprint"] == kept["fingerprint"]) & marked["id__"].eqNullSafe(kept["id__"])
+    named = marked.join(kept, same, "left_semi").groupBy("fingerprint")
+    named = named.agg(F.min(F.struct("id__", "hash__", "size__")).alias("kept")).select("kept.*")
+    chosen = hashed[id_column].eqNullSafe(named["id__"]) & (hashed["hash__"] == named["hash__"]) & (hashed["size__"] == named["size__"])
+    rows = hashed.join(named, chosen, "left_semi").dropDuplicates([id_column, "hash__", "size__"])
+    return rows.select(*(f"`{c}`" for c in columns))
