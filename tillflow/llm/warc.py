@@ -127,9 +127,15 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, file_bytes: int) -> I
         names = ["name", "temporary", "shard", "records", "bytes", "sha1"]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
 
+    mark = None
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            shard, page_id, url, payload, refers_to, refers_url, revisit = row
+            shard, page_id, sha1, is_page, url, payload, refers_to, refers_url = row
+            if not is_page:  # the pages that follow with this id and payload are revisits
+                mark = (page_id, sha1, refers_to, refers_url)
+                continue
+            revisit = mark is not None and mark[:2] == (page_id, sha1)
+            refers_to, refers_url = mark[2:] if revisit else (None, None)
             if file and (file.shard != shard or file.bytes >= file_bytes):
                 number = number + 1 if file.shard == shard else 0
                 yield listed(file.close())
@@ -196,14 +202,21 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, file_bytes: int =
         F.count(F.lit(1)).alias("copies"), F.max(F.struct("page_id", "url")).alias("kept")
     )
     same = same.where("copies > 1").select("sha1", "kept")
-    joined = _with_shards(rows, shard_bytes).withColumn("sha1", F.sha1("html")).join(same, "sha1", "left")
-    revisit = F.col("kept").isNotNull() & F.col("kept.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept.page_id"))
-    records = joined.select(
-        "shard", "page_id", "url", F.col("html").cast("binary").alias("payload"), F.col("kept.page_id").alias("refers_to"),
-        F.col("kept.url").alias("refers_url"), revisit.alias("revisit"),
+    # Marks of revisits are found without the payloads and travel with the pages: sorted just
+    # before them, so the payloads are shuffled once.
+    placed = _with_shards(rows, shard_bytes).withColumn("sha1", F.sha1("html"))
+    again = F.col("kept.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept.page_id"))
+    none = F.lit(None).cast("string")
+    marks = placed.select("shard", "page_id", "sha1").join(same, "sha1").where(again).distinct().select(
+        "shard", "page_id", "sha1", F.lit(False).alias("is_page"), none.alias("url"), none.cast("binary").alias("payload"),
+        F.col("kept.page_id").alias("refers_to"), F.col("kept.url").alias("refers_url"),
     )
+    records = placed.select(
+        "shard", "page_id", "sha1", F.lit(True).alias("is_page"), "url", F.col("html").cast("binary").alias("payload"),
+        none.cast("bigint").alias("refers_to"), none.alias("refers_url"),
+    ).unionByName(marks)
     shards = rows.agg((F.sum(F.octet_length("html") + 512) / shard_bytes).alias("n")).first()["n"] or 0
-    dealt = records.repartition(int(shards) + 1, "shard").sortWithinPartitions("shard", "page_id", "payload", "url")
+    dealt = records.repartition(int(shards) + 1, "shard").sortWithinPartitions("shard", "page_id", "sha1", "is_page", "url")
     manifest = staged(dealt.mapInArrow(partial(_write, folder=folder, file_bytes=file_bytes), _MANIFEST), "manifest")
     manifest.mapInArrow(partial(_publish, folder=folder), _MANIFEST).write.parquet(f"{folder}/_manifest")
     system, path = located(folder)
