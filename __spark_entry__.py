@@ -6,6 +6,7 @@ Bronze-shaped sale lines.  Every query runs over all of them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -18,13 +19,15 @@ from tillflow.operators.dedupe import latest_per_key
 from tillflow.operators.enrich import enriched, silver_rows, typed
 from tillflow.operators.merge import merged
 from tillflow.operators.quality import accepted, rejected
-from tillflow.operators.rank import rank_distributed
-from tillflow.plans import gold, serving
-from tillflow.schemas import KEY, REASONS
+from tillflow.plans import gold, medallion, serving
+from tillflow.schemas import KEY, RAW, REASONS, RECENCY, SILVER_PARTITIONS
 from tillflow.settings import configure
+from tillflow.sinks.upsert import upsert
+from tillflow.sources.lake import Lake, read_bronze, read_gold, read_quarantine, read_silver
 from tillflow.sources.landing import with_load_metadata
-from tillflow.sources.staging import staged
+from tillflow.sources.staging import shared_folder, staged
 from tillflow.sources.star import FACT_TIE_BREAK, disturbed_facts, sale_facts, with_attributes
+from tillflow.streaming.feeds import feed_bronze, feed_silver
 
 try:
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
@@ -83,13 +86,95 @@ def silver_quarantine_strict(spark: SparkSession, folder: str) -> DataFrame:
     return _quarantine(spark, folder, ("discount_out_of_range",))
 
 
-def silver_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Two deliveries, split at a ship date, merged one after the other."""
+def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries, split at a ship date."""
     facts = sale_facts(spark, folder)
     split = F.lit("1999-01-01").cast("timestamp_ntz")
-    first = silver_rows(facts.filter(F.col("ingestion_timestamp") < split), FACT_TIE_BREAK)
-    second = silver_rows(facts.filter(F.col("ingestion_timestamp") >= split), FACT_TIE_BREAK)
-    return _doubles(merged(first, staged(second, "delivery"), KEY)).drop("ingestion_timestamp")
+    first = silver_rows(facts.filter(F.col(RECENCY) < split), FACT_TIE_BREAK)
+    second = silver_rows(facts.filter(F.col(RECENCY) >= split), FACT_TIE_BREAK)
+    return first, second
+
+
+def silver_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The two deliveries merged one after the other."""
+    first, second = _halves(spark, folder)
+    return _doubles(merged(first, staged(second, "delivery"), KEY, RECENCY, FACT_TIE_BREAK)).drop(RECENCY)
+
+
+def silver_upsert_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The later delivery stored first: the earlier one must not overwrite it."""
+    path = f"{_new_folder(spark)}/silver"
+    for delivery in reversed(_halves(spark, folder)):
+        upsert(delivery, path, KEY, SILVER_PARTITIONS, recency=RECENCY, tie_break=FACT_TIE_BREAK)
+    stored = spark.read.parquet(path).select(delivery.columns)
+    return _doubles(stored).drop(RECENCY)
+
+
+# --- Stored tables: CSV files, Bronze, Silver, Gold -----------------------------
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/lake-{uuid.uuid4().hex}"
+
+
+def _landed(spark: SparkSession, lines: DataFrame, folder: str) -> str:
+    """All sale lines as CSV files in the layout of a delivery."""
+    path = f"{folder}/landing"
+    lines.select(*RAW.names).write.option("header", "true").csv(path)
+    return path
+
+
+def _delivery(spark: SparkSession, folder: str) -> tuple[Lake, str]:
+    base = _new_folder(spark)
+    lines = with_attributes(sale_facts(spark, folder), spark, folder, stores=True, products=True)
+    return Lake(base), _landed(spark, lines, base)
+
+
+def bronze_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    lake, landing = _delivery(spark, folder)
+    load = medallion.ingest(spark, lake, landing)
+    return read_bronze(spark, lake).select(*RAW.names, F.lit(load.row_count).alias("load_rows"))
+
+
+def _stored_columns(silver: DataFrame) -> DataFrame:
+    return _doubles(silver.drop(RECENCY, "silver_processed_at"))
+
+
+def silver_stored(spark: SparkSession, folder: str) -> DataFrame:
+    lake, landing = _delivery(spark, folder)
+    medallion.ingest(spark, lake, landing)
+    medallion.refresh_silver(spark, lake)
+    return _stored_columns(read_silver(spark, lake))
+
+
+def feed_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    lake, landing = _delivery(spark, folder)
+    feed_bronze(spark, lake, landing).awaitTermination()
+    feed_silver(spark, lake).awaitTermination()
+    return _stored_columns(read_silver(spark, lake))
+
+
+def silver_quarantine_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """A strict refresh, then one without the extra rule: nothing of the first may stay behind."""
+    base = _new_folder(spark)
+    lake = Lake(base)
+    unknown = {name: F.lit(None).cast("string") for name in ("store_name", "store_region", "product_name", "category")}
+    medallion.ingest(spark, lake, _landed(spark, disturbed_facts(spark, folder).withColumns(unknown), base))
+    medallion.refresh_silver(spark, lake, strict=("discount_out_of_range",))
+    medallion.refresh_silver(spark, lake)
+    return read_quarantine(spark, lake).select(
+        KEY, "date", "product_id", "store_id", "quantity", F.concat_ws(",", REASONS).alias(REASONS)
+    )
+
+
+def _published(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        lake, landing = _delivery(spark, folder)
+        medallion.run(spark, lake, landing)
+        return read_gold(spark, lake)[name].drop("processed_at")
+
+    query.__name__ = f"gold_published_{name}"
+    return query
 
 
 def gold_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +191,7 @@ def gold_product_performance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_rank_distributed(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = gold.product_performance(_silver(spark, folder, products=True), rank_distributed)
+    ranked = gold.product_performance(_silver(spark, folder, products=True))
     return ranked.select("product_id", "total_revenue", "revenue_rank")
 
 
@@ -159,6 +244,14 @@ def daily_revenue_page(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def daily_revenue_envelope(spark: SparkSession, folder: str) -> DataFrame:
+    daily = staged(gold_daily_revenue(spark, folder), "daily_revenue")
+    envelope = serving.daily_revenue_envelope(
+        daily, start_date="1996-01-01", end_date="1997-12-31", region="a_i", page=3, size=15
+    )
+    return envelope.select("total", "page", "size", F.inline("data"))
+
+
 def daily_revenue_filtered(spark: SparkSession, folder: str) -> DataFrame:
     return serving.daily_revenue(gold_daily_revenue(spark, folder), "1996-01-01", "1997-12-31", "america")
 
@@ -239,6 +332,12 @@ _QUERIES = [
     silver_quarantine_strict,
     silver_reconciliation,
     silver_upsert,
+    silver_upsert_late,
+    bronze_csv_roundtrip,
+    silver_stored,
+    feed_roundtrip,
+    silver_quarantine_stored,
+    *(_published(name) for name in ("daily_revenue", "product_performance", "store_performance", "category_trends")),
     gold_daily_revenue,
     gold_daily_revenue_disturbed,
     gold_product_performance,
@@ -250,6 +349,7 @@ _QUERIES = [
     kpi_summary_exact,
     region_leaders,
     daily_revenue_page,
+    daily_revenue_envelope,
     daily_revenue_filtered,
     daily_revenue_total,
     top_products,
@@ -314,7 +414,11 @@ usable AS (
     AND TRY_CAST(date AS DATE) IS NOT NULL)"""
 
 
-def _silver_sql(source: str) -> str:
+_BY_SHIP_DATE = "ingestion_timestamp, date, product_id, store_id, quantity, unit_price, discount_pct, customer_id"
+_BY_CONTENT = "date, store_id, product_id, quantity, unit_price, discount_pct, customer_id"
+
+
+def _silver_sql(source: str, order: str = _BY_SHIP_DATE) -> str:
     """CTEs deduped and silver over a Bronze-shaped CTE."""
     return f"""
 deduped AS (
@@ -324,10 +428,7 @@ deduped AS (
          customer_id, ingestion_timestamp
   FROM (SELECT *, row_number() OVER (
           PARTITION BY transaction_id
-          ORDER BY ingestion_timestamp DESC NULLS LAST, date DESC NULLS LAST,
-                   product_id DESC NULLS LAST, store_id DESC NULLS LAST,
-                   quantity DESC NULLS LAST, unit_price DESC NULLS LAST,
-                   discount_pct DESC NULLS LAST, customer_id DESC NULLS LAST) AS version
+          ORDER BY {order.replace(",", " DESC NULLS LAST,")} DESC NULLS LAST) AS version
         FROM {source})
   WHERE version = 1),
 priced AS (
@@ -355,6 +456,7 @@ sales AS (
   LEFT JOIN part ON product_id = concat('P', CAST(p_partkey AS VARCHAR)))"""
 
 _CLEAN = f"WITH {_FACTS}, {_silver_sql('facts')}, {_ATTRIBUTES}"
+_STORED = f"WITH {_FACTS}, {_silver_sql('facts', _BY_CONTENT)}, {_ATTRIBUTES}"
 _FAULTY = f"WITH {_FACTS}, {_DISTURBED}, {_ACCEPTED_DISTURBED}, {_silver_sql('usable')}, {_ATTRIBUTES}"
 
 
@@ -497,6 +599,7 @@ def oracle_sql() -> dict[str, str]:
         "date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' AND store_region ILIKE '%a_i%'"
     )
     silver = _silver_sql("facts")
+    stored = f"{_STORED} SELECT {_SILVER_COLUMNS}, store_name, store_region, product_name, category FROM sales"
     found = {
         "bronze_rows_by_run": f"""WITH {_FACTS}
             SELECT 'lineitem.parquet' AS source_file, CAST(ingestion_timestamp AS DATE) AS pipeline_run_date,
@@ -524,6 +627,19 @@ def oracle_sql() -> dict[str, str]:
                     SELECT {_SILVER_COLUMNS} FROM silver)
             SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.transaction_id = old.transaction_id)
             UNION ALL SELECT * FROM new""",
+        "silver_upsert_late": f"WITH {_FACTS}, {silver} SELECT {_SILVER_COLUMNS} FROM silver",
+        "bronze_csv_roundtrip": f"""WITH {_FACTS}, {_ATTRIBUTES.replace("FROM silver s", "FROM facts s")}
+            SELECT transaction_id, strftime(date, '%Y-%m-%d') AS date, store_id, store_name, store_region, product_id,
+                   product_name, category, quantity, unit_price, discount_pct, customer_id,
+                   (SELECT count(*) FROM lineitem) AS load_rows
+            FROM sales""",
+        "silver_stored": stored,
+        "feed_roundtrip": stored,
+        "silver_quarantine_stored": _reasons_sql(strict=False),
+        "gold_published_daily_revenue": f"{_STORED}, {_daily_sql()} SELECT * FROM daily",
+        "gold_published_product_performance": f"{_STORED}, {_product_sql()} SELECT * FROM product",
+        "gold_published_store_performance": f"{_STORED}, {_store_sql()} SELECT * FROM store",
+        "gold_published_category_trends": f"{_STORED}, {_trends_sql()} SELECT * FROM trends",
         "gold_daily_revenue": f"{_CLEAN}, {_daily_sql()} SELECT * FROM daily",
         "gold_daily_revenue_disturbed": f"{_FAULTY}, {_daily_sql()} SELECT * FROM daily",
         "gold_product_performance": f"{_CLEAN}, {_product_sql()} SELECT * FROM product",
@@ -554,6 +670,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, (SELECT count(*) FROM daily WHERE {page_filter}) AS total,
                    CAST(2 AS INTEGER) AS page, CAST(20 AS INTEGER) AS size
             FROM daily WHERE {page_filter} ORDER BY date DESC, store_region LIMIT 20 OFFSET 20""",
+        "daily_revenue_envelope": f"""{_CLEAN}, {_daily_sql()}
+            SELECT *, (SELECT count(*) FROM daily WHERE {page_filter}) AS total,
+                   CAST(3 AS INTEGER) AS page, CAST(15 AS INTEGER) AS size
+            FROM daily WHERE {page_filter} ORDER BY date DESC, store_region LIMIT 15 OFFSET 30""",
         "daily_revenue_filtered": f"""{_CLEAN}, {_daily_sql()}
             SELECT * FROM daily
             WHERE date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' AND store_region ILIKE '%america%'""",

@@ -5,6 +5,7 @@ from fractions import Fraction
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from sales import (
     bronze,
@@ -19,7 +20,7 @@ from sales import (
 
 from tillflow.functions.money import rounded_mean
 from tillflow.operators.enrich import silver_rows
-from tillflow.operators.rank import dense_rank_desc, rank_distributed, rank_in_one_task
+from tillflow.operators.rank import dense_rank_desc
 from tillflow.plans import gold
 from tillflow.schemas import GOLD
 
@@ -40,7 +41,7 @@ def test_daily_revenue(silver, lines):
 
 def test_product_performance(silver, lines):
     assert by_key(gold.product_performance(silver), 3) == expected_products(lines)
-    assert by_key(gold.product_performance(silver, rank_distributed), 3) == expected_products(lines)
+    assert by_key(gold.product_performance(silver), 3) == expected_products(lines)
 
 
 def test_store_performance(silver, lines):
@@ -80,12 +81,11 @@ def test_rounded_mean_is_exact(spark, pairs):
 
 def test_ranks_agree_on_ties_gaps_and_extremes(spark):
     rng = random.Random(9)
-    units = [rng.choice([0, 1, -5, 2**20, 2**20 - 1, -(2**20), 2**41, 2**41 + 7, -(2**45)]) for _ in range(300)]
+    units = [rng.choice([0, 1, -5, 2**20, 2**20 - 1, -(2**20), 2**41, 2**41 + 7, -(2**45), 10**17, 10**25, 10**25 + 1, -(10**24)]) for _ in range(300)]
     units += [rng.randint(-(2**44), 2**44) for _ in range(300)] + [77] * 400 + [None] * 5
     rows = [(i, None if u is None else Decimal(u).scaleb(-2)) for i, u in enumerate(units)]
     df = spark.createDataFrame(rows, "id int, total decimal(28,2)").cache()
-    plain = by_key(rank_in_one_task(df, "total", "r").select("id", "r"), 1)
-    assert by_key(rank_distributed(df, "total", "r").select("id", "r"), 1) == plain
+    plain = by_key(df.select("id", F.dense_rank().over(Window.orderBy(F.desc_nulls_last("total")))), 1)
     assert by_key(dense_rank_desc(df, "total", "r").select("id", "r"), 1) == plain
     order = sorted({u for u in units if u is not None}, reverse=True)
     for i, u in enumerate(units):
@@ -94,7 +94,7 @@ def test_ranks_agree_on_ties_gaps_and_extremes(spark):
 
 def test_rank_of_whole_numbers_and_of_nothing(spark):
     df = spark.range(10).withColumn("v", F.col("id") % 3)
-    assert by_key(rank_distributed(df, "v", "r").select("id", "r"), 1) == {(i,): (3 - i % 3,) for i in range(10)}
-    assert rank_distributed(df.filter("id < 0"), "v", "r").count() == 0
+    assert by_key(dense_rank_desc(df, "v", "r").select("id", "r"), 1) == {(i,): (3 - i % 3,) for i in range(10)}
+    assert dense_rank_desc(df.filter("id < 0"), "v", "r").count() == 0
     with pytest.raises(TypeError):
-        rank_distributed(df.withColumn("v", F.col("v").cast("double")), "v", "r")
+        dense_rank_desc(df.withColumn("v", F.col("v").cast("double")), "v", "r")

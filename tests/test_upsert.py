@@ -1,4 +1,5 @@
 import datetime
+import itertools
 import os
 import random
 
@@ -14,8 +15,13 @@ from tillflow.sources.lake import Lake, read_quarantine, read_silver, stored
 KEY = "transaction_id"
 
 
-def put(spark, path, lines):
-    upsert(medallion.to_silver(bronze(spark, lines)), path, KEY, SILVER_PARTITIONS)
+_loads = itertools.count()
+
+
+def put(spark, path, lines, loaded=None):
+    """Merge lines as a delivery that is later than all before, unless told otherwise."""
+    loaded = loaded or LOADED + datetime.timedelta(minutes=next(_loads))
+    upsert(medallion.to_silver(bronze(spark, lines, loaded)), path, KEY, SILVER_PARTITIONS)
 
 
 def content(spark, path):
@@ -53,6 +59,25 @@ def test_row_that_moves_to_another_month_leaves_the_old_one(spark, tmp_path):
     assert content(spark, path) == expected([line("A", day="2024-02-02"), line("B", day="2024-02-01")])
 
 
+def test_an_older_version_never_replaces_a_newer_one(spark, tmp_path):
+    path, hour = str(tmp_path / "silver"), datetime.timedelta(hours=1)
+    put(spark, path, [line("A", quantity=5, day="2024-02-01"), line("B", quantity=1)], LOADED)
+    put(spark, path, [line("A", quantity=9, day="2024-05-01"), line("B", quantity=2)], LOADED - hour)
+    assert content(spark, path) == expected([line("A", quantity=5, day="2024-02-01"), line("B", quantity=1)])
+    put(spark, path, [line("A", quantity=7)], LOADED + hour)
+    assert content(spark, path) == expected([line("A", quantity=7), line("B", quantity=1)])
+
+
+def test_thousands_of_touched_months(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    put(spark, path, [line("A"), line("B", day="2023-01-01")])
+    wanted = [{"year": y, "month": m} for y in range(1850, 2024) for m in range(1, 13)]
+    found = stored(spark, path, SILVER).filter(upsert_module._in_partitions(wanted, SILVER_PARTITIONS))
+    assert len(wanted) > 2000 and [r[KEY] for r in found.collect()] == ["B"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [concat_ws(/" in plan, "months are pruned"
+
+
 def test_same_batch_twice_is_a_no_op(spark, tmp_path):
     path = str(tmp_path / "silver")
     lines = random_lines(31, 60)

@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.schemas import CORRUPT, KEY, MAX_DISCOUNT, MAX_GROSS, MAX_PRICE, REASONS
+from tillflow.schemas import CORRUPT, KEY, LEAST_PRICE, MOST_DISCOUNT, MOST_MONEY, REASONS
 
 _DATE = "^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
 
@@ -26,13 +26,15 @@ def parsed_date(df: DataFrame) -> Column:
 def _requirements(df: DataFrame, strict: Iterable[str]) -> dict[str, Column]:
     """Reason for rejection -> condition a good row meets (NULL counts as not met)."""
     quantity, price, discount = F.col("quantity"), F.col("unit_price"), F.col("discount_pct")
-    pieces = F.coalesce(F.abs(quantity.cast("double")), F.lit(1.0))
+    gross = price * F.coalesce(F.abs(quantity.cast("double")), F.lit(1.0))
+    share = F.coalesce(F.abs(discount), F.lit(0.0))
+    holds = (price >= LEAST_PRICE) & (gross < MOST_MONEY) & (share < MOST_DISCOUNT) & (gross * share < MOST_MONEY)
     required = {
         "missing_key": F.col(KEY).isNotNull(),
         "bad_quantity": quantity > 0,
-        "bad_price": (price > 0) & (price < MAX_PRICE) & (price * pieces < MAX_GROSS),
+        "bad_price": price > 0,
         "bad_date": parsed_date(df).isNotNull(),
-        "bad_discount": discount.isNull() | discount.between(-MAX_DISCOUNT, MAX_DISCOUNT),
+        "amount_out_of_range": F.coalesce(price <= 0, F.lit(True)) | holds,
     }
     optional = {"discount_out_of_range": discount.isNull() | discount.between(0, 1)}
     if CORRUPT in df.columns:

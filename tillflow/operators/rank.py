@@ -1,69 +1,62 @@
-"""Dense rank over a whole table, with and without a single-task sort."""
+"""Dense rank over a whole table, without a sort of its rows in one task."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# A sort of this many narrow rows is a matter of a second for one task.
-SINGLE_TASK_ROWS = 1_000_000
-# Values are ranked inside ranges of 2**20 units, so no task sorts more than that.
-RANGE_BITS = 20
+# Whole units are ranked inside ranges of 2**20, these inside ranges of 2**42, and so on.
+LEVELS = (20, 42, 64)
+UNITS = DecimalType(38, 0)
 
 
-def rank_in_one_task(df: DataFrame, by: str, name: str) -> DataFrame:
-    """Spark's own unpartitioned window; all rows meet in one task."""
-    return df.withColumn(name, F.dense_rank().over(Window.orderBy(F.col(by).desc_nulls_last())))
-
-
-def rank_distributed(df: DataFrame, by: str, name: str) -> DataFrame:
-    """The same ranks from bounded windows; ``df`` should be stored, it is read twice.
-
-    A dense rank counts the distinct larger values.  Distinct values, taken as
-    whole units (cents, for money), are cut into fixed ranges of 2**20 units and
-    those into super-ranges of 2**40.  Then rank = position inside the range
-    + distinct values in higher ranges of the super-range + distinct values in
-    higher super-ranges.  The first two windows hold at most 2**20 rows per
-    partition whatever the data look like; the last one has a row per
-    super-range, of which a bigint allows 2**24 and ten billion in money fill one.
+def dense_rank_desc(stored: DataFrame, by: str, name: str = "revenue_rank") -> DataFrame:
+    """Dense rank, largest first, from bounded windows; ``stored`` is read twice.
+
+    A dense rank counts the distinct larger values.  Distinct values, taken as whole units
+    (cents, for money), are cut into fixed ranges of 2**20 units, these into ranges of 2**42
+    and those into ranges of 2**64.  Then rank = position inside the range + distinct values
+    in higher ranges of each level.  A window holds at most 2**22 rows per partition whatever
+    the data look like; the last one has a row for each 2**64 units, of which every amount
+    that a bigint can hold fills one.  A missing value ranks below all others.
     """
-    df = df.withColumn("_units", _units(df, by))
-    values = df.select("_units").distinct().withColumn("_range", F.shiftright("_units", RANGE_BITS))
-    inside = Window.partitionBy("_range").orderBy(F.desc("_units"))
+    rows = stored.withColumn("_units", _units(stored, by))
+    values = rows.select("_units").distinct().withColumn("_range", _range("_units", LEVELS[0]))
+    inside = Window.partitionBy("_range").orderBy(F.col("_units").desc_nulls_last())
     positions = values.withColumn("_position", F.row_number().over(inside))
+    sizes = values.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    rank = (F.col("_position") + F.col("_above")).cast("int")
+    ranks = positions.join(_above(sizes, LEVELS[1:]), F.col("_range").eqNullSafe(F.col("_key")))
+    ranks = ranks.select(F.col("_units").alias("_ranked"), rank.alias(name))
+    return rows.join(ranks, F.col("_units").eqNullSafe(F.col("_ranked"))).drop("_units", "_ranked")
 
-    ranges = values.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_super", F.shiftright("_range", RANGE_BITS)
-    )
-    supers = ranges.groupBy("_super").agg(F.sum("_n").alias("_n"))
-    higher_ranges = ranges.select("_super", "_range", _count_above("_range", "_super").alias("_near"))
-    higher_supers = supers.select("_super", _count_above("_super").alias("_far"))
-    above = higher_ranges.join(higher_supers, "_super").select("_range", "_near", "_far")
 
-    rank = (F.col("_position") + F.col("_near") + F.col("_far")).cast("int")
-    ranks = positions.join(above, "_range").select("_units", rank.alias(name))
-    return df.join(ranks, "_units").drop("_units")
+def _range(column: str, bits: int) -> Column:
+    """The least number of the range of 2**bits that holds the value; exact on decimals."""
+    return (F.col(column) - F.pmod(F.col(column), F.lit(str(1 << bits)).cast(UNITS))).cast(UNITS)
 
 
-def dense_rank_desc(stored: DataFrame, by: str, name: str = "revenue_rank") -> DataFrame:
-    """Dense rank, largest first.  The row count of the stored table picks the way."""
-    if stored.count() <= SINGLE_TASK_ROWS:
-        return rank_in_one_task(stored, by, name)
-    return rank_distributed(stored, by, name)
+def _above(sizes: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """``_key`` and ``_above`` of each range: how many distinct values the higher ranges hold."""
+    if not levels:
+        return sizes.select(F.col("_range").alias("_key"), _count_above().alias("_above"))
+    wider = sizes.withColumn("_wider", _range("_range", levels[0]))
+    near = wider.select("_range", "_wider", _count_above("_wider").alias("_near"))
+    far = _above(wider.groupBy(F.col("_wider").alias("_range")).agg(F.sum("_n").alias("_n")), levels[1:])
+    joined = near.join(far, F.col("_wider").eqNullSafe(F.col("_key")))
+    return joined.select(F.col("_range").alias("_key"), (F.col("_near") + F.col("_above")).alias("_above"))
 
 
 def _units(df: DataFrame, by: str) -> Column:
-    """The value in whole units; a missing value ranks below all others."""
+    """The value in whole units."""
     kind = df.schema[by].dataType
     if isinstance(kind, DecimalType):
-        units = F.col(by) * F.lit(10**kind.scale)
-    elif kind.typeName() in ("byte", "short", "integer", "long"):
-        units = F.col(by)
-    else:
-        raise TypeError(f"{by} must be a decimal or a whole number to be ranked, not {kind.simpleString()}")
-    return F.coalesce(units.cast("bigint"), F.lit(-(2**63)))
+        return (F.col(by) * F.lit(10**kind.scale).cast(DecimalType(kind.scale + 1, 0))).cast(UNITS)
+    if kind.typeName() in ("byte", "short", "integer", "long"):
+        return F.col(by).cast(UNITS)
+    raise TypeError(f"{by} must be a decimal or a whole number to be ranked, not {kind.simpleString()}")
 
 
-def _count_above(order: str, partition: str | None = None) -> Column:
+def _count_above(partition: str | None = None) -> Column:
     window = Window.partitionBy(partition) if partition else Window
-    window = window.orderBy(F.desc(order))
+    window = window.orderBy(F.col("_range").desc_nulls_last())
     return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -1,7 +1,5 @@
 """Gold tables from Silver."""
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 
 from tillflow.operators import gold
@@ -13,14 +11,14 @@ def daily_revenue(silver: DataFrame) -> DataFrame:
     return gold.as_published(gold.daily_revenue(silver))
 
 
-def product_performance(silver: DataFrame, rank: Callable = dense_rank_desc) -> DataFrame:
+def product_performance(silver: DataFrame) -> DataFrame:
     totals = staged(gold.product_totals(silver), "product_totals")
-    return gold.as_published(rank(totals, "total_revenue", "revenue_rank"))
+    return gold.as_published(dense_rank_desc(totals, "total_revenue"))
 
 
-def store_performance(silver: DataFrame, rank: Callable = dense_rank_desc) -> DataFrame:
+def store_performance(silver: DataFrame) -> DataFrame:
     totals = staged(gold.store_totals(silver), "store_totals")
-    return gold.as_published(rank(totals, "total_revenue", "revenue_rank"))
+    return gold.as_published(dense_rank_desc(totals, "total_revenue"))
 
 
 def category_trends(silver: DataFrame, week_year: str = "calendar") -> DataFrame:

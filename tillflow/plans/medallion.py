@@ -11,10 +11,11 @@ from tillflow.operators.quality import rejected
 from tillflow.plans.gold import all_tables
 from tillflow.schemas import BRONZE_PARTITIONS, KEY, SILVER, SILVER_PARTITIONS
 from tillflow.sinks.gold import publish
-from tillflow.sinks.tables import append, overwrite_partitions
+from tillflow.sinks.tables import append, overwrite, overwrite_partitions
 from tillflow.sinks.upsert import upsert
-from tillflow.sources.lake import Date, Lake, read_bronze, read_silver
+from tillflow.sources.lake import Date, Lake, processed_until, read_bronze, read_silver
 from tillflow.sources.landing import file_headers, read_csv, with_load_metadata
+from tillflow.sources.staging import cleared, remove, staged
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,8 @@ def ingest(spark: SparkSession, lake: Lake, source: str) -> Load:
         bad = sorted(h["file"] for h in headers if not h["ok"])
         if not bad:
             raise
+    refused = spark.createDataFrame([(name, "wrong header") for name in bad], "file string, reason string")
+    refused.withColumn("refused_at", F.current_timestamp()).write.mode("append").parquet(lake.refused_files)
     return Load(_append_to_bronze(spark, lake, good) if good else 0, bad)
 
 
@@ -63,30 +66,47 @@ def to_silver(bronze: DataFrame, strict: Iterable[str] = ()) -> DataFrame:
 def refresh_silver(
     spark: SparkSession, lake: Lake, since: Date | None = None, strict: Iterable[str] = ()
 ) -> None:
-    """Merge Bronze into Silver and keep rejected rows with their reasons.
-
-    All of Bronze by default; with ``since``, only the loads of that run date and
-    later, whose versions are the newest of their keys by definition.  Either way
-    a repeated call changes nothing: keys are merged, and the quarantine of a run
-    date is replaced as a whole.
+    """Merge the batch loads of Bronze into Silver and keep rejected rows with their reasons.
+
+    All loads by default; with ``since``, those of that run date and later.  Either
+    way a repeated call changes nothing: the latest version of a key wins in any
+    order of calls, and the quarantine of every run date read is replaced, also by
+    nothing.  What the streaming feed took in is merged by ``feed_silver``, which
+    has its own quarantine.  A row that Silver has stays there if later rules would
+    refuse it.
     """
-    bronze = read_bronze(spark, lake, since)
+    bronze = read_bronze(spark, lake, since, feed=False)
     upsert(to_silver(bronze, strict), lake.silver, KEY, SILVER_PARTITIONS, lake.table_format)
-    overwrite_partitions(rejected(bronze, strict), lake.quarantine, BRONZE_PARTITIONS)
+    refused = rejected(bronze, strict)
+    if since is None:
+        overwrite(refused, lake.quarantine, BRONZE_PARTITIONS)
+        return
+    with cleared(spark):
+        refused = staged(refused, "refused")
+        overwrite_partitions(refused, lake.quarantine, BRONZE_PARTITIONS)
+        # One row for each day of loads: folders of days that have no rejects any more.
+        day = F.col("pipeline_run_date").cast("string")
+        without = bronze.select(day).distinct().exceptAll(refused.select(day).distinct())
+        for row in without.collect():
+            remove(spark, f"{lake.quarantine}/pipeline_run_date={row[0]}")
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, week_year: str = "calendar") -> str:
     """Rebuild the four Gold tables from Silver; returns the version published."""
-    return publish(spark, lake, all_tables(read_silver(spark, lake), week_year))
+    with cleared(spark):
+        return publish(spark, lake, all_tables(read_silver(spark, lake), week_year))
 
 
 def run(spark: SparkSession, lake: Lake, source: str, since: Date | None = None) -> Load:
     """The whole way from CSV files to Gold.
 
-    A scheduler passes the day of the last successful run as ``since``, so that a
-    run reads the new loads and not the whole history of Bronze.
+    By default Silver takes in the loads since the last run that came this far, of
+    which the lake keeps a record; ``since`` names another day.
     """
     load = ingest(spark, lake, source)
-    refresh_silver(spark, lake, since)
+    today = spark.range(1).select(F.current_date().alias("run_date")).first()["run_date"]
+    refresh_silver(spark, lake, since or processed_until(spark, lake))
     refresh_gold(spark, lake)
+    done = spark.range(1).select(F.lit(today).alias("run_date"), F.current_timestamp().alias("finished_at"))
+    done.coalesce(1).write.mode("append").parquet(lake.progress)
     return load

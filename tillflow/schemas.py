@@ -59,12 +59,12 @@ REASONS_FIELD = StructField(REASONS, ArrayType(StringType()))
 
 # Prices and discounts keep six places so that sub-cent prices survive the
 # move from binary doubles; revenue is money in cents.
-PRICE = DecimalType(18, 6)
-DISCOUNT = DecimalType(9, 6)
+PRICE = DecimalType(22, 6)
+DISCOUNT = DecimalType(18, 6)
 MONEY = DecimalType(18, 2)
-# Limits that keep every line inside those types, also gross times discount;
-# NaN and infinity compare as larger.
-MAX_PRICE, MAX_DISCOUNT, MAX_GROSS = 999_999_999_999.0, 999.0, 9_000_000_000_000.0
+# What the types can't hold: a line's gross or discount beyond them (NaN and
+# infinity compare as larger), a discount of a trillion, a price that has no six places.
+MOST_MONEY, MOST_DISCOUNT, LEAST_PRICE = 9e15, 9e11, 5e-7
 
 SILVER = _struct(
     transaction_id=StringType(),
@@ -87,9 +87,13 @@ SILVER = _struct(
     week=IntegerType(),
     day_of_week=IntegerType(),
     is_weekend=BooleanType(),
+    ingestion_timestamp=TimestampType(),
     silver_processed_at=TimestampType(),
 )
 SILVER_PARTITIONS = ["year", "month"]
+# Which version of a transaction wins: the one loaded last, then by content.
+RECENCY = "ingestion_timestamp"
+TIE_BREAK = [name for name in RAW.names if name != KEY]
 
 GOLD = {
     "daily_revenue": _struct(

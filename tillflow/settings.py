@@ -6,7 +6,9 @@ from pyspark.sql import SparkSession
 # default it keeps its hands off when the next aggregation would have used the
 # join's partitioning, as after a join by product and a grouping by product; the
 # extra shuffle it then takes carries pre-aggregated rows only.
+# One time zone decides to which day an instant belongs, whichever machine submits.
 SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -1,17 +1,16 @@
 """Keyed upsert into a partitioned table."""
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructType
 
 from tillflow.operators.merge import merged
+from tillflow.schemas import RECENCY, TIE_BREAK
 from tillflow.sinks.tables import overwrite, overwrite_partitions
 from tillflow.sources.lake import stored
-from tillflow.sources.staging import staged
+from tillflow.sources.staging import cleared, remove, staged
 
 _STATE = StructType().add("state", "string")
 
@@ -22,8 +21,10 @@ def upsert(
     key: str,
     partition_by: Sequence[str],
     table_format: str = "parquet",
+    recency: str = RECENCY,
+    tie_break: Sequence[str] = TIE_BREAK,
 ) -> None:
-    """Update rows whose key is known, insert the others; ``incoming`` has unique keys.
+    """Insert new keys, replace stored rows that are not more recent; ``incoming`` has unique keys.
 
     Delta does this as one MERGE.  Parquet has no transactions, so the new
     content of the touched partitions is completed beside the table first and
@@ -33,7 +34,7 @@ def upsert(
     """
     spark = incoming.sparkSession
     if table_format == "delta":
-        _merge_into_delta(incoming, path, key, partition_by)
+        _merge_into_delta(incoming, path, key, partition_by, recency)
         return
     _require_integral(incoming, partition_by)
     recover(spark, path, incoming.schema, partition_by, key)
@@ -41,19 +42,32 @@ def upsert(
     if current is None:
         overwrite(incoming, path, partition_by, [key])
         return
-    incoming = staged(incoming, "upsert")
+    with cleared(spark):
+        _prepare(staged(incoming, "upsert"), current, path, key, partition_by, recency, tie_break)
+    _set_state(spark, path, "publishing")
+    _publish(spark, path, incoming.schema, partition_by, key)
+
 
+def _prepare(
+    incoming: DataFrame,
+    current: DataFrame,
+    path: str,
+    key: str,
+    partition_by: Sequence[str],
+    recency: str,
+    tie_break: Sequence[str],
+) -> None:
+    """Write the new content of all touched partitions beside the table."""
     # Partitions that receive rows, and those the keys live in now: a corrected
     # date moves a row.  Only the key and partition columns are read for this.
     residence = current.join(incoming.select(key), key, "left_semi").select(*partition_by)
     touched = incoming.select(*partition_by).union(residence).distinct()
     touched.write.mode("overwrite").parquet(_pending(path, "touched"))
-    touched = spark.read.parquet(_pending(path, "touched"))
+    touched = incoming.sparkSession.read.parquet(_pending(path, "touched"))
 
     affected = current.filter(_in_partitions(touched.collect(), partition_by))
-    overwrite(merged(affected, incoming, key), _pending(path, "rows"), partition_by, [key])
-    _set_state(spark, path, "publishing")
-    _publish(spark, path, incoming.schema, partition_by, key)
+    rows = merged(affected, incoming, key, recency, tie_break)
+    overwrite(rows, _pending(path, "rows"), partition_by, [key])
 
 
 def recover(
@@ -75,21 +89,19 @@ def _publish(
     overwrite_partitions(rows, path, partition_by, [key])
     # A partition that lost all its rows gets no files from the write above.
     emptied = touched.exceptAll(rows.select(*partition_by).distinct())
-    data_columns = [c for c in schema.names if c not in partition_by]
-    nothing = spark.createDataFrame([], schema).select(*data_columns)
     for row in emptied.collect():
-        folder = "/".join(f"{c}={row[c]}" for c in partition_by)
-        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+        remove(spark, "/".join([path, *(f"{c}={row[c]}" for c in partition_by)]))
     _set_state(spark, path, "published")
 
 
 def _in_partitions(partitions: list, partition_by: Sequence[str]) -> Column:
     """A predicate on partition columns only, which Spark turns into folder pruning.
 
-    The list is as long as the calendar months touched, not as the data.
+    The list is as long as the calendar months touched, not as the data, and it is
+    one flat membership test, however many there are.
     """
-    one = [reduce(and_, [F.col(c) == p[c] for c in partition_by]) for p in partitions]
-    return reduce(or_, one, F.lit(False))
+    wanted = ["/".join(str(p[c]) for c in partition_by) for p in partitions]
+    return F.concat_ws("/", *partition_by).isin(wanted)
 
 
 def _pending(path: str, part: str) -> str:
@@ -106,7 +118,9 @@ def _require_integral(df: DataFrame, partition_by: Sequence[str]) -> None:
             raise TypeError(f"upsert partitions by whole numbers; {column} is none")
 
 
-def _merge_into_delta(incoming: DataFrame, path: str, key: str, partition_by: Sequence[str]) -> None:
+def _merge_into_delta(
+    incoming: DataFrame, path: str, key: str, partition_by: Sequence[str], recency: str
+) -> None:
     spark = incoming.sparkSession
     if stored(spark, path, incoming.schema, "delta") is None:
         overwrite(incoming, path, partition_by, [key], "delta")
@@ -115,5 +129,6 @@ def _merge_into_delta(incoming: DataFrame, path: str, key: str, partition_by: Se
     spark.sql(
         f"MERGE INTO delta.`{path}` AS kept USING tillflow_incoming AS fresh "
         f"ON kept.{key} = fresh.{key} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        f"WHEN MATCHED AND fresh.{recency} >= kept.{recency} THEN UPDATE SET * "
+        "WHEN NOT MATCHED THEN INSERT *"
     )

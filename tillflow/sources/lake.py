@@ -45,6 +45,14 @@ class Lake:
     def quarantine_stream(self) -> str:
         return f"{self.base}/quarantine/sales_stream"
 
+    @property
+    def refused_files(self) -> str:
+        return f"{self.base}/refused/files"
+
+    @property
+    def progress(self) -> str:
+        return f"{self.base}/progress/silver"
+
     @property
     def gold_versions(self) -> str:
         return f"{self.base}/gold/versions"
@@ -81,11 +89,13 @@ def _required(table: DataFrame | None, what: str) -> DataFrame:
     return table
 
 
-def read_bronze(spark: SparkSession, lake: Lake, since: Date | None = None) -> DataFrame:
-    """All loads, or those of a run date and later (a partition filter)."""
+def read_bronze(
+    spark: SparkSession, lake: Lake, since: Date | None = None, feed: bool = True
+) -> DataFrame:
+    """All loads, or those of a run date and later (a partition filter); without ``feed``, batch loads only."""
     found = [
         stored(spark, lake.bronze, BRONZE, lake.table_format),
-        stored(spark, lake.bronze_stream, BRONZE),
+        stored(spark, lake.bronze_stream, BRONZE) if feed else None,
     ]
     found = [table for table in found if table is not None]
     bronze = _required(reduce(DataFrame.unionByName, found) if found else None, "Bronze table")
@@ -106,6 +116,22 @@ def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, found, spark.createDataFrame([], schema))
 
 
+_REFUSED = StructType().add("file", "string").add("reason", "string").add("refused_at", "timestamp")
+_PROGRESS = StructType().add("run_date", "date").add("finished_at", "timestamp")
+
+
+def read_refused_files(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Files that batch loads left out, with the reason and the time."""
+    found = stored(spark, lake.refused_files, _REFUSED)
+    return spark.createDataFrame([], _REFUSED) if found is None else found
+
+
+def processed_until(spark: SparkSession, lake: Lake) -> datetime.date | None:
+    """The last run date that :func:`tillflow.plans.medallion.run` has brought into Silver."""
+    found = stored(spark, lake.progress, _PROGRESS)
+    return found and found.agg(F.max("run_date")).first()[0]
+
+
 def latest_gold_version(spark: SparkSession, lake: Lake) -> str | None:
     """The version published last; one short line per publication is read."""
     versions = stored(spark, lake.gold_versions, _VERSIONS)
