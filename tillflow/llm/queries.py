@@ -123,7 +123,60 @@ def _placed_sql(name: str, members: str, above: str, key: str) -> str:
   FROM {name}_prior p, {name}_spread)"""
 
 
+def _words_sql(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), '{reputation.UPPER}', '{reputation.LOWER}')"
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+_FIVE_BITS = ", ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((n >> {k}) & 31), 1)" for k in (15, 10, 5, 0))
+
+
 SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH d AS (SELECT doc_id, {_words_sql('text')} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS k
+  FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS k
+  FROM (SELECT * FROM d, sizes), unnest(range(1, len(w) - size + 2)) t(s)),
+matches AS (SELECT DISTINCT doc_id, s, size, item_id FROM places JOIN windows USING (size, k)),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + size)) AS word FROM matches) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM matches) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op4_warc": f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS kept, sha1(coalesce(html, '')) AS hex
+  FROM pages)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(8), lambda g: concat(
+         {_FIVE_BITS.replace("n >>", "CAST('0x' || substr(hex, CAST(5 * g + 1 AS BIGINT), 5) AS INTEGER) >>")})), '') AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM p""",
+    "op10_embedding_duplicates": """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+usable AS (
+  SELECT vec_id, e FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT a AS vec_id, (SELECT count(*) FROM links WHERE links.a = reach.a) AS n_links,
+       min(b) AS component_id, a = min(b) AS kept
+FROM reach GROUP BY a""",
     "op5_url_filter": f"""
 WITH urls AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
