@@ -17,6 +17,7 @@ from tillflow.functions.money import to_double
 from tillflow.operators.contracts import all_violations
 from tillflow.operators.dedupe import latest_per_key
 from tillflow.operators.enrich import enriched, silver_rows, typed
+from tillflow.operators.gold import product_totals, store_totals
 from tillflow.operators.merge import merged
 from tillflow.operators.quality import accepted, rejected
 from tillflow.plans import gold, medallion, serving
@@ -213,23 +214,21 @@ def stored_silver(spark: SparkSession, folder: str) -> DataFrame:
     return staged(silver.drop(KEY, "ingestion_timestamp", "day_of_week", "is_weekend"), "silver")
 
 
+_SUMMARIZED = [
+    *("date", "store_region", "store_id", "store_name", "product_id", "product_name", "category"),
+    *("customer_id", "quantity", "unit_price", "discount_pct", "net_revenue", "gross_revenue", "discount_amount"),
+]
+
+
 def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
-    silver = stored_silver(spark, folder)
-    return serving.kpi_summary(
-        staged(gold.daily_revenue(silver), "daily_revenue"),
-        gold.product_performance(silver),
-        gold.store_performance(silver),
-    )
+    silver = staged(_silver(spark, folder, stores=True, products=True).select(*_SUMMARIZED), "silver")
+    daily = staged(gold.daily_revenue(silver), "daily_revenue")
+    return serving.kpi_summary(daily, product_totals(silver), store_totals(silver))
 
 
 def kpi_summary_exact(spark: SparkSession, folder: str) -> DataFrame:
     silver = stored_silver(spark, folder)
-    return serving.kpi_summary_exact(
-        silver,
-        gold.daily_revenue(silver),
-        gold.product_performance(silver),
-        gold.store_performance(silver),
-    )
+    return serving.kpi_summary_exact(silver, gold.daily_revenue(silver), product_totals(silver), store_totals(silver))
 
 
 def region_leaders(spark: SparkSession, folder: str) -> DataFrame:

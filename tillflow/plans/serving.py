@@ -55,10 +55,11 @@ def region_leaders(daily: DataFrame) -> DataFrame:
 
 
 def _tops(daily: DataFrame, products: DataFrame, stores: DataFrame) -> dict[str, Column]:
+    """The leaders; products and stores need no more than their revenue, id and name."""
     return {
         "top_region": _first_name(region_leaders(daily), "store_region"),
-        "top_product": _first_name(products.orderBy("revenue_rank", "product_id"), "product_name"),
-        "top_store": _first_name(stores.orderBy("revenue_rank", "store_id"), "store_name"),
+        "top_product": _first_name(products.orderBy(F.desc("total_revenue"), "product_id"), "product_name"),
+        "top_store": _first_name(stores.orderBy(F.desc("total_revenue"), "store_id"), "store_name"),
     }
 
 
