@@ -165,8 +165,12 @@ def learn(docs: DataFrame, per_language: int = SAMPLE) -> Model:
     teach nothing.  What reaches the driver is one count for each bucket and language.
     """
     usable = docs.where("text IS NOT NULL AND lang IS NOT NULL")
-    number = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = usable.select("doc_id", "lang").withColumn("number", number).where(F.col("number") <= per_language)
+    # A language may hold most rows: a share of them by hash, twice what is wanted, is numbered.
+    total = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).join(total, "lang")
+    near = F.shiftrightunsigned("hash", 33) * F.col("total") < F.lit(2 * per_language * (1 << 31))
+    number = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 33), "doc_id"))
+    chosen = hashed.where(near).withColumn("number", number).where(F.col("number") <= per_language)
     sample = usable.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi").select("lang", "text")
     found = arrow_map(sample, _learned, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = found.toArrow()
