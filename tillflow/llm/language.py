@@ -171,7 +171,9 @@ def learn(docs: DataFrame, per_language: int = SAMPLE) -> Model:
     near = F.shiftrightunsigned("hash", 33) * F.col("total") < F.lit(2 * per_language * (1 << 31))
     number = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 33), "doc_id"))
     chosen = hashed.where(near).withColumn("number", number).where(F.col("number") <= per_language)
-    sample = usable.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi").select("lang", "text")
+    # At most per_language ids for each language the driver has a column for: safe to broadcast.
+    picked = F.broadcast(chosen.select("doc_id", "lang").distinct())
+    sample = usable.join(picked, ["doc_id", "lang"], "left_semi").select("lang", "text")
     found = arrow_map(sample, _learned, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = found.toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
