@@ -19,7 +19,7 @@ from tillflow.sources.staging import staged
 
 CAPACITY = 2048
 SHARE = 32_768  # pieces that one task packs together, on average
-HELD_BYTES = 64 << 20  # and no more bytes at a time, if it holds the ids as well
+HELD_BYTES = 32 << 20  # and no more bytes at a time, if it holds the ids as well
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
