@@ -167,7 +167,7 @@ def learn(docs: DataFrame, per_language: int = SAMPLE) -> Model:
     usable = docs.where("text IS NOT NULL AND lang IS NOT NULL")
     # A language may hold most rows: a share of them by hash, twice what is wanted, is numbered.
     total = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
-    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).join(total, "lang")
+    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).join(F.broadcast(total), "lang")
     near = F.shiftrightunsigned("hash", 33) * F.col("total") < F.lit(2 * per_language * (1 << 31))
     number = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 33), "doc_id"))
     chosen = hashed.where(near).withColumn("number", number).where(F.col("number") <= per_language)
