@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.sources.staging import staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -105,13 +107,14 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     known = F.col("bad").isNotNull().cast("long")
     hosts = outcomes.groupBy("host").agg(F.sum(known).alias("n"), F.sum(F.coalesce(F.col("bad").cast("long"), F.lit(0))).alias("bad"))
     hosts = hosts.withColumns({"domain": domain(F.col("host")), "suffix": suffix(F.col("host"))})
+    hosts = staged(hosts, "hosts")  # each level reads it several times
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = (total["bad"] + 1) / (total["n"] + 2) if total["n"] else 0.5
     spread = _spread(suffixes, F.lit(overall))
     suffixes = suffixes.withColumns({"prior": F.lit(overall), "strength": F.lit((1 - spread) / spread)})
-    placed = _placed(domains, _above(suffixes, "suffix"), "suffix")
+    placed = staged(_placed(domains, _above(suffixes, "suffix"), "suffix"), "domains")
     out = _placed(hosts, _above(placed, "domain"), "domain")
     out = out.withColumn("weight", F.col("n") + F.col("strength"))
     out = out.withColumn("mean", (F.col("bad") + F.col("strength") * F.col("prior")) / F.col("weight"))
@@ -141,7 +144,7 @@ def judged(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], threshold:
     """
     new = ("host", "path", "rule", "verdict", "mean", "bound", "rules")
     rows = pages.drop(*(c for c in new if c != "url")).withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
-    known = reputations(outcomes).select("host", "mean", "bound")
+    known = staged(reputations(outcomes).select("host", "mean", "bound"), "reputations")
     by_host = rows.select("host").distinct().join(known, "host", "left")
     by_host = by_host.join(_fitting(by_host.select("host"), rules), "host", "left")
     placed = rows.join(by_host, "host", "left")
