@@ -132,7 +132,11 @@ def groups(prints: DataFrame, id_column: str = "doc_id", distance: int = 4, bloc
     fingerprint under which that id occurs (the smallest, should there be several).
     """
     distinct = staged(prints.groupBy("fingerprint").agg(F.min(id_column).alias("least")), "prints")
-    roots = components(links(distinct.select("fingerprint"), distance, blocks))
+    return grouped(distinct, components(links(distinct.select("fingerprint"), distance, blocks)))
+
+
+def grouped(distinct: DataFrame, roots: DataFrame) -> DataFrame:
+    """The columns of ``groups``, from the least id of each fingerprint and the components of the links."""
     placed = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     placed = placed.withColumn("root", F.coalesce("root", "fingerprint"))
     order = F.struct(F.col("least").isNull(), F.col("least"), F.col("fingerprint"))
@@ -158,18 +162,32 @@ def deduplicated(
 
     Of repeated rows one stays.  Documents without words form one component.
     """
-    columns = docs.columns
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    hashed = docs.withColumns({"hash__": F.xxhash64(whole), "size__": F.octet_length(whole)})
+    hashed = named_texts(docs, text)
     narrow = hashed.select(F.col(id_column).alias("id__"), "hash__", "size__", F.col(f"`{text}`").alias("text__"))
     marked = staged(with_fingerprint(narrow, "text__", width, keep_text=False), "fingerprints")
-    found = groups(marked, "id__", distance, blocks)
-    # The text that stays is one of the keeper's fingerprint under the smallest id; hash and
-    # size name it, so neither the texts nor their fingerprints are stored or made again.
+    named = keepers(marked, groups(marked, "id__", distance, blocks))
+    return chosen(hashed, named, id_column).select(*(f"`{c}`" for c in docs.columns))
+
+
+def named_texts(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with ``hash__`` and ``size__``, which name the text."""
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return docs.withColumns({"hash__": F.xxhash64(whole), "size__": F.octet_length(whole)})
+
+
+def keepers(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """Id and name of the text that stays of each component, from ``groups``.
+
+    It is one of the keeper's fingerprint under the smallest id; hash and size name it, so
+    neither the texts nor their fingerprints are stored or made again.
+    """
     kept = found.where("fingerprint = keeper").select("fingerprint", F.col("component_id").alias("id__"))
     same = (marked["fingerprint"] == kept["fingerprint"]) & marked["id__"].eqNullSafe(kept["id__"])
     named = marked.join(kept, same, "left_semi").groupBy("fingerprint")
-    named = named.agg(F.min(F.struct("id__", "hash__", "size__")).alias("kept")).select("kept.*")
-    chosen = hashed[id_column].eqNullSafe(named["id__"]) & (hashed["hash__"] == named["hash__"]) & (hashed["size__"] == named["size__"])
-    rows = hashed.join(named, chosen, "left_semi").dropDuplicates([id_column, "hash__", "size__"])
-    return rows.select(*(f"`{c}`" for c in columns))
+    return named.agg(F.min(F.struct("id__", "hash__", "size__")).alias("kept")).select("kept.*")
+
+
+def chosen(hashed: DataFrame, named: DataFrame, id_column: str) -> DataFrame:
+    """The rows that ``named`` has by id and text, each once."""
+    there = hashed[id_column].eqNullSafe(named["id__"]) & (hashed["hash__"] == named["hash__"]) & (hashed["size__"] == named["size__"])
+    return hashed.join(named, there, "left_semi").dropDuplicates([id_column, "hash__", "size__"])
