@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.text import Words, raw, slices, words
 from tillflow.llm.work import arrow_map
+from tillflow.sources.staging import cleared, staged
 
 SAMPLE = 2000  # documents of a language that the model learns from, at most
 BUCKETS = 1 << 16  # of trigrams
@@ -138,20 +139,25 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = PENALTY) ->
 
 
 def _learned(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Counts of trigram buckets, and of words by script from ``BUCKETS`` on, by language."""
+    """Counts of trigram buckets, and of words by script from ``BUCKETS`` on, by language.
+
+    A row that has copies counts for its share of them.
+    """
     for part in slices(batch):
         languages = part.column("lang").dictionary_encode()
         for number, language in enumerate(languages.dictionary.to_pylist()):
-            texts = part.column("text").filter(pc.equal(languages.indices, number))
-            codes, distinct = words(texts, LETTERS).coded()
+            rows = pc.equal(languages.indices, number)
+            split = words(part.column("text").filter(rows), LETTERS)
+            codes, distinct = split.coded()
             if not len(distinct):
                 continue
-            times = np.bincount(codes, minlength=len(distinct))
+            share = 1 / part.column("copies").filter(rows).to_numpy()
+            times = np.bincount(codes, share[split.rows()], len(distinct))
             buckets, owner = _trigrams(distinct)
             script = _scripts(distinct)
             buckets = np.concatenate([buckets, BUCKETS + script[script >= 0]])
             weight = np.concatenate([times[owner], times[script >= 0]])
-            counts = np.bincount(buckets, weight, BUCKETS + len(NAMES)).astype(np.int64)
+            counts = np.bincount(buckets, weight, BUCKETS + len(NAMES))
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([language] * len(at)), pa.array(at, pa.int32()), pa.array(counts[at])], ["lang", "bucket", "n"]
@@ -159,23 +165,31 @@ def _learned(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, per_language: int = SAMPLE) -> Model:
-    """A model of the languages in ``lang``, from ``text`` of at most ``per_language`` rows of each.
+    """A model of the languages in ``lang``, from at most ``per_language`` pairs of ``doc_id`` and ``text`` of each.
 
-    The rows are those with the smallest hashes of ``doc_id``; rows without text or language
-    teach nothing.  What reaches the driver is one count for each bucket and language.
+    The pairs are those with the smallest hashes; ids may be null, and repeated rows teach once.
+    Rows without words or language teach nothing and take no place of others.  What reaches
+    the driver is one count for each bucket and language.
     """
-    usable = docs.where("text IS NOT NULL AND lang IS NOT NULL")
-    # A language may hold most rows: a share of them by hash, twice what is wanted, is numbered.
-    total = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
-    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).join(F.broadcast(total), "lang")
-    near = F.shiftrightunsigned("hash", 33) * F.col("total") < F.lit(2 * per_language * (1 << 31))
-    number = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 33), "doc_id"))
-    chosen = hashed.where(near).withColumn("number", number).where(F.col("number") <= per_language)
-    # At most per_language ids for each language the driver has a column for: safe to broadcast.
-    picked = F.broadcast(chosen.select("doc_id", "lang").distinct())
-    sample = usable.join(picked, ["doc_id", "lang"], "left_semi").select("lang", "text")
-    found = arrow_map(sample, _learned, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    rows = found.toArrow()
+    named = {"hash__": F.xxhash64("doc_id", "text"), "size__": F.octet_length("text")}
+    worded = F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")  # some of LETTERS
+    usable = docs.where(worded & F.col("lang").isNotNull()).select("doc_id", "lang", "text").withColumns(named)
+    with cleared(docs.sparkSession):
+        pairs = usable.groupBy("lang", "hash__", "size__").agg(F.count(F.lit(1)).alias("copies"))
+        pairs = staged(pairs, "pairs")
+        # A language may hold most rows: a share of them by hash, twice what is wanted, is numbered.
+        total = pairs.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+        order = F.shiftrightunsigned("hash__", 33)
+        near = pairs.join(F.broadcast(total), "lang").where(order * F.col("total") < F.lit(2 * per_language * (1 << 31)))
+        number = F.row_number().over(Window.partitionBy("lang").orderBy(order, "hash__", "size__"))
+        chosen = near.withColumn("number", number).where(F.col("number") <= per_language)
+        # At most per_language pairs for each language the driver has a column for: safe to broadcast.
+        picked = F.broadcast(chosen.select("lang", "hash__", "size__", "copies"))
+        sample = usable.join(picked, ["lang", "hash__", "size__"]).select("lang", "text", "copies")
+        found = arrow_map(sample, _learned, "lang string, bucket int, n double").groupBy("lang", "bucket")
+        # The shares of copies add up to whole numbers.
+        found = found.agg(F.round(F.sum("n")).cast("bigint").alias("n"))
+        rows = found.toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
     counts = np.zeros((BUCKETS + len(NAMES), max(1, len(languages))))
     place = [languages.index(name) for name in rows.column("lang").to_pylist()]
