@@ -191,8 +191,9 @@ def matches(indexed: DataFrame, benchmark: DataFrame, width: int = WIDTH, slack:
     """Where windows of ``width`` consecutive item words occur in the indexed documents.
 
     benchmark: ``item_id`` and ``text``.  An item of fewer words, but not none, is one window;
-    items without an id are left out; items that share an id count as one.  Columns: segment,
-    ordinal (the document), item_id as string, kind, item_start, start and length.  ``exact``
+    items without an id match as any other, under a null item_id; items that share an id count
+    as one.  Columns: segment, ordinal (the document), item_id as string, kind, item_start,
+    start and length.  ``exact``
     rows are maximal runs: ``length`` words from word ``start`` of the document equal those of
     the item from ``item_start``.  With ``slack``, ``near`` rows tell at word ``start`` an
     occurrence of the window's rarest term that has every other term of the window within
@@ -201,7 +202,7 @@ def matches(indexed: DataFrame, benchmark: DataFrame, width: int = WIDTH, slack:
     Lists of item terms only are read from the index.  A window is asked of those segments
     that have its rarest term, and there the lists are intersected from the rarest on.
     """
-    named = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    named = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     items = staged(
         arrow_map(named, _item_terms, "item_id string, terms array<string>")
         .where(F.size("terms") > 0)
@@ -232,7 +233,10 @@ def documents(indexed: DataFrame) -> DataFrame:
 
 
 def contamination(indexed: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Every document with its keys, ``n_words``, ``n_hit`` (words inside any occurring window) and ``items``."""
+    """Every document with its keys, ``n_words``, ``n_hit`` (words inside any occurring window) and ``items``.
+
+    The words of items without an id are in n_hit, but nothing is listed for them.
+    """
     found = matches(indexed, benchmark, width).where("kind = 'exact'")
     found = staged(found.select("segment", "ordinal", "item_id", "start", "length"), "matches")
     hit = found.select("segment", "ordinal", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("word"))
