@@ -20,6 +20,7 @@ from tillflow.sources.staging import staged
 CAPACITY = 2048
 SHARE = 32_768  # pieces that one task packs together, on average
 HELD_BYTES = 32 << 20  # and no more bytes at a time, if it holds the ids as well
+ROW = "row__"  # number of a staged piece
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,20 +120,24 @@ def _packed(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.Rec
 def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces (see ``pieces``; written tables are best).
 
-    Pieces are dealt by hash to tasks of about ``SHARE`` rows, and each task packs its own in
+    Pieces are dealt by hash (of ``ROW`` too, if the table has it, so that repeated rows go to
+    many tasks) to tasks of about ``SHARE`` rows, and each task packs its own in
     decreasing order of length; so a few sequences in ten thousand are less than full for the
     dealing, whatever the size of the input.  A task never holds more than four shares or
     ``HELD_BYTES``.
     """
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
+    columns = [c for c in cut.columns if c != ROW]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields if f.name != ROW)
     shares = max(1, -(-cut.count() // SHARE))
-    dealt = cut.repartition(shares, F.xxhash64("doc_id", "piece", "ids_crc32"))
+    keys = ["doc_id", "piece", "ids_crc32", *({ROW} & set(cut.columns))]
+    dealt = cut.repartition(shares, F.xxhash64(*keys)).select(*columns)
     return dealt.mapInArrow(partial(_packed, capacity=capacity), f"{types}, sequence_id bigint, offset bigint")
 
 
 def packed_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their place in a sequence; an empty table gives no rows."""
-    return packed(staged(pieces(docs, path, capacity, with_ids), "pieces"), capacity)
+    cut = pieces(docs, path, capacity, with_ids).withColumn(ROW, F.monotonically_increasing_id())
+    return packed(staged(cut, "pieces"), capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
