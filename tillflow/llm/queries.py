@@ -9,11 +9,25 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, decontamination, embeddings, language, lm, packing, reputation, secrets, simhash, warc
+from tillflow.llm import (
+    bpe,
+    byte_bpe,
+    decontamination,
+    embeddings,
+    language,
+    lm,
+    merkle,
+    packing,
+    reputation,
+    secrets,
+    simhash,
+    warc,
+)
 from tillflow.llm.work import new_folder, prepared, table
 
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _remainder(modulus: int) -> Column:
@@ -95,7 +109,38 @@ def op10_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
-_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op4_warc, op5_url_filter, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts, op10_embedding_duplicates]
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lowered = F.translate("text", reputation.UPPER, reputation.LOWER)
+
+    def leaf(text: Column) -> Column:
+        return merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0  # not without an id
+    leaves = docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"), F.when(tampered, leaf(lowered)).alias("claim"))
+    found = merkle.manifest(leaves, "source", ["doc_id"], ["doc_id"]).proved()
+
+    def digits(name: str) -> Column:
+        return F.lower(F.hex(name))
+
+    return found.select(
+        "key.doc_id",
+        digits("leaf").alias("leaf"),
+        digits("subroot").alias("subroot"),
+        digits("root").alias("root"),
+        digits("proof").alias("proof_sha256"),
+        digits("folded").alias("folded_root"),
+        "verified",
+    )
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = byte_bpe.encoded(docs, BYTE_VOCABULARY, public_tokenizers.PATTERN, ["doc_id"], decode=True)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op4_warc, op5_url_filter, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts, op10_embedding_duplicates, op12_merkle_manifest, op13_byte_bpe]
 
 _SUFFIXES = ", ".join(f"'{s}'" for s in reputation.TWO_LABELS)
 
