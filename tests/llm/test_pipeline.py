@@ -79,10 +79,31 @@ def test_pipeline_equals_the_stages_done_by_hand(spark, folder):
     assert all(n <= 2048 for n in ends.values()) and sum(ends.values()) == sum(r.length for r in found)
 
 
-def test_stages_keep_odd_columns_and_empty_tables(spark, folder):
-    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", "1 as row", "'x' as term", "2 as kept", "3 as spans", "4 as fingerprint")
+ODD = ["row", "term", "kept", "spans", "fingerprint", "lang_pred", "score", "text__", "cuts__", "hash__", "size__", "key__", "id__"]
+ODD += ["text_hash__", "text_size__", "secret_parts__", "secret_row__", "given0", "given1", "name", "root", "least", "copies", "segment"]
+
+
+def test_stages_keep_columns_of_any_name(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = docs.selectExpr("*", *(f"concat('{name}', doc_id) as `{name}`" for name in ODD), "doc_id as `a.b c`")
     assert [re.sub(r"\W", "", name) for name, _ in corpus_pipeline.STAGES] == [name for name, _ in corpus_pipeline.STAGES]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, odd, folder)
+        assert found.columns == odd.columns
+        rows = found.collect()
+        assert {r.doc_id for r in rows} == {r.doc_id for r in stage(spark, docs, folder).collect()}, name
+        assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in ODD) and all(r["a.b c"] == r.doc_id for r in rows)
+
+
+@pytest.mark.parametrize("column", ["text__", "cuts__", "hash__", "size__", "text_hash__"])
+def test_one_odd_column_at_a_time(spark, folder, column):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", f"cast(doc_id + 7 as int) as `{column}`")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, folder).columns == docs.columns
+        found = stage(spark, docs, folder)
+        assert found.columns == docs.columns and found.schema[column].dataType == docs.schema[column].dataType
+
+
+def test_stages_take_empty_tables(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), folder).count() == 0

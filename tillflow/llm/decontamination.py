@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import varint
 from tillflow.llm.text import ALPHANUMERIC, slices, words
-from tillflow.llm.work import arrow_map
+from tillflow.llm.work import arrow_map, under_own_names
 from tillflow.sources.staging import staged
 
 SEGMENT_BYTES = 8 << 20
@@ -250,8 +250,11 @@ def contamination(indexed: DataFrame, benchmark: DataFrame, width: int = WIDTH)
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
     """``docs`` without the rows whose text holds a window of the benchmark."""
-    columns = docs.columns
-    marked = docs.withColumns({"text_hash__": F.xxhash64(f"`{text}`"), "text_size__": F.length(f"`{text}`")})
-    keys = ["text_hash__", "text_size__"]
-    hit = contamination(index(marked.select(*keys, text), keys, text), benchmark, width).where("n_hit > 0")
-    return marked.join(hit.select(*keys).distinct(), keys, "left_anti").select(*(f"`{c}`" for c in columns))
+
+    def clean(given: DataFrame, column: str) -> DataFrame:
+        name = {"text_hash__": F.xxhash64(column), "text_size__": F.length(column)}
+        marked = given.withColumns(name)
+        hit = contamination(index(marked.select(*name, column), list(name), column), benchmark, width).where("n_hit > 0")
+        return marked.join(hit.select(*name).distinct(), list(name), "left_anti")
+
+    return under_own_names(docs, clean, text)

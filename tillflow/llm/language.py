@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.text import Words, raw, slices, words
-from tillflow.llm.work import arrow_map
+from tillflow.llm.work import arrow_map, under_own_names
 from tillflow.sources.staging import cleared, staged
 
 SAMPLE = 2000  # documents of a language that the model learns from, at most
+MOST_LANGUAGES = 256  # that it learns: those with most documents
 BUCKETS = 1 << 16  # of trigrams
 PENALTY = 6.0  # natural log units that a switch of language costs
 FLOOR = -8.0  # a word counts against a language by so much at most
@@ -168,7 +169,8 @@ def learn(docs: DataFrame, per_language: int = SAMPLE) -> Model:
     """A model of the languages in ``lang``, from at most ``per_language`` pairs of ``doc_id`` and ``text`` of each.
 
     The pairs are those with the smallest hashes; ids may be null, and repeated rows teach once.
-    Rows without words or language teach nothing and take no place of others.  What reaches
+    Rows without words or language teach nothing and take no place of others.  Should ``lang``
+    have more than ``MOST_LANGUAGES`` values, those with most pairs are learned.  What reaches
     the driver is one count for each bucket and language.
     """
     named = {"hash__": F.xxhash64("doc_id", "text"), "size__": F.octet_length("text")}
@@ -179,6 +181,7 @@ def learn(docs: DataFrame, per_language: int = SAMPLE) -> Model:
         pairs = staged(pairs, "pairs")
         # A language may hold most rows: a share of them by hash, twice what is wanted, is numbered.
         total = pairs.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+        total = total.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES)
         order = F.shiftrightunsigned("hash__", 33)
         near = pairs.join(F.broadcast(total), "lang").where(order * F.col("total") < F.lit(2 * per_language * (1 << 31)))
         number = F.row_number().over(Window.partitionBy("lang").orderBy(order, "hash__", "size__"))
@@ -218,31 +221,52 @@ def _spans(split: Words, labels: np.ndarray, texts: pa.Array) -> tuple[np.ndarra
     return row, labels[head], before[split.spans[0][head]] - base, before[split.spans[1][tail]] - base
 
 
+@dataclass
+class Labels:
+    """The language of each word of a batch and of each of its texts."""
+
+    split: Words
+    labels: np.ndarray  # the language of each word
+    names: np.ndarray  # of all languages, and of texts without one
+    pick: np.ndarray  # the language of each text, as its place in ``names``
+    share: np.ndarray  # of its words in that language
+
+
+def labelled(texts: pa.Array, model: Model, penalty: float) -> Labels:
+    n = len(texts)
+    split = words(texts, LETTERS)
+    codes, distinct = split.coded()
+    scores, counts = model.scores(distinct)
+    letter = _scripts(distinct) >= 0 if len(distinct) else np.zeros(0, bool)
+    labels = viterbi(scores[codes], split.first, penalty)
+    rows, width = split.rows(), len(model.languages)
+    votes = np.bincount(rows * width + labels, counts[codes], n * width).reshape(n, width)
+    known = votes.sum(axis=1)
+    some = np.bincount(rows, letter[codes], n) > 0
+    pick = np.where(some, votes.argmax(axis=1), width)
+    share = np.where(some & (known > 0), votes.max(axis=1) / np.maximum(known, 1), 0.0)
+    return Labels(split, labels, np.array([*model.languages, UNKNOWN]), pick, share)
+
+
 def _identified(batch: pa.RecordBatch, text: str, model: Model, penalty: float) -> Iterator[pa.RecordBatch]:
     for part in slices(batch, text):
-        texts, n = part.column(text), part.num_rows
-        split = words(texts, LETTERS)
-        codes, distinct = split.coded()
-        scores, counts = model.scores(distinct)
-        letter = _scripts(distinct) >= 0 if len(distinct) else np.zeros(0, bool)
-        labels = viterbi(scores[codes], split.first, penalty)
-        rows, width = split.rows(), len(model.languages)
-        votes = np.bincount(rows * width + labels, counts[codes], n * width).reshape(n, width)
-        known = votes.sum(axis=1)
-        some = np.bincount(rows, letter[codes], n) > 0
-        names = np.array([*model.languages, UNKNOWN])
-        pick = np.where(some, votes.argmax(axis=1), width)
-        share = np.where(some & (known > 0), votes.max(axis=1) / np.maximum(known, 1), 0.0)
-        row, label, begin, end = _spans(split, labels, texts)
+        texts = part.column(text)
+        found = labelled(texts, model, penalty)
+        row, label, begin, end = _spans(found.split, found.labels, texts)
         spans = pa.StructArray.from_arrays(
-            [pa.array(names[label]), pa.array(begin, pa.int32()), pa.array(end, pa.int32())], ["lang", "start", "end"]
+            [pa.array(found.names[label]), pa.array(begin, pa.int32()), pa.array(end, pa.int32())], ["lang", "start", "end"]
         )
-        first = np.searchsorted(row, np.arange(n + 1))
+        first = np.searchsorted(row, np.arange(part.num_rows + 1))
         others = [(k, c) for k, c in zip(part.schema.names, part.columns, strict=True) if k != text]
-        yield pa.RecordBatch.from_arrays(
-            [*(c for _, c in others), pa.array(names[pick]), pa.array(share), pa.ListArray.from_arrays(pa.array(first, pa.int32()), spans)],
-            [*(k for k, _ in others), "lang_pred", "score", "spans"],
-        )
+        new = [pa.array(found.names[found.pick]), pa.array(found.share), pa.ListArray.from_arrays(pa.array(first, pa.int32()), spans)]
+        yield pa.RecordBatch.from_arrays([*(c for _, c in others), *new], [*(k for k, _ in others), "lang_pred", "score", "spans"])
+
+
+def _accepted(batch: pa.RecordBatch, text: str, model: Model, penalty: float, least: float) -> Iterator[pa.RecordBatch]:
+    for part in slices(batch, text):
+        found = labelled(part.column(text), model, penalty)
+        stays = (found.names[found.pick] != UNKNOWN) & (found.share >= least)
+        yield part.filter(pa.array(stays))
 
 
 def identified(docs: DataFrame, model: Model, keys: list[str], text: str = "text", penalty: float = PENALTY) -> DataFrame:
@@ -261,9 +285,8 @@ def identified(docs: DataFrame, model: Model, keys: list[str], text: str = "text
 
 def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.3) -> DataFrame:
     """``docs`` whose language is known and has the share ``least`` of the words; other rows go."""
-    if {"lang_pred", "score", "spans"} & set(docs.columns):
-        wanted = {c: f"given__{c}" for c in docs.columns}
-        back = {v: k for k, v in wanted.items()}
-        return accepted(docs.withColumnsRenamed(wanted), model, f"given__{text}", least).withColumnsRenamed(back)
-    found = identified(docs, model, docs.columns, text)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*(f"`{c}`" for c in docs.columns))
+
+    def kept(given: DataFrame, column: str) -> DataFrame:
+        return arrow_map(given, partial(_accepted, text=column, model=model, penalty=PENALTY, least=least), given.schema)
+
+    return under_own_names(docs, kept, text)

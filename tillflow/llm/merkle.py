@@ -2,8 +2,8 @@
 
 Each group (a source, say) has a tree of its own over its rows in order, and the roots of
 the groups make the tree on top.  ``WAYS`` consecutive nodes have one parent.  A task works on
-blocks of ``BLOCK`` consecutive nodes, whose edges are edges of subtrees on every level; the
-nodes above a block are blocks of the next tier, and so on until one node is left.
+blocks of ``WAYS ** LEVELS`` consecutive nodes, whose edges are edges of subtrees on every
+level; the nodes above the blocks make blocks of the next tier, until one node is left.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from tillflow.llm.work import arrow_map
 from tillflow.sources.staging import staged
 
 WAYS, LEVELS = 16, 3
-BLOCK = WAYS**LEVELS
 DIGEST = 64  # characters of a digest; hashed as such, stored as half as many bytes
 STEPS = "array<struct<before binary, after binary>>"
 
@@ -40,11 +39,11 @@ def leaf(*values: Column) -> Column:
 class Tree:
     """The nodes over one block, bottom up; a version copies the path of one leaf and shares the rest."""
 
-    def __init__(self, digests: list[bytes], whole: bool):
-        """whole: the block is all of its group, so its tree ends at one node; else it has ``LEVELS`` levels."""
+    def __init__(self, digests: list[bytes], whole: bool, levels: int):
+        """whole: the block is all of its group, so its tree ends at one node."""
         self.runs: list[list[bytes]] = []  # by level, what each parent is the digest of
         nodes = digests
-        while len(nodes) > 1 if whole else len(self.runs) < LEVELS:
+        while len(nodes) > 1 if whole else len(self.runs) < levels:
             self.runs.append([b"".join(nodes[i : i + WAYS]) for i in range(0, len(nodes), WAYS)])
             nodes = [sha256(run).hexdigest().encode() for run in self.runs[-1]]
         self.root = nodes[0]
@@ -72,16 +71,16 @@ def _hex(values: pa.Array) -> list[bytes]:
     return [v.hex().encode() for v in values.to_pylist()]
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.StructArray, Tree]]:
+def _blocks(batch: pa.RecordBatch, levels: int) -> Iterator[tuple[int, pa.StructArray, Tree]]:
     """Each row of a tier: its number, its nodes in order, and their tree."""
     for i, (number, nodes) in enumerate(zip(batch.column("block").to_pylist(), batch.column("nodes"), strict=True)):
         nodes = nodes.values
         nodes = nodes.take(pc.sort_indices(nodes.field("place")))
-        yield i, nodes, Tree(_hex(nodes.field("digest")), number == 0 and len(nodes) < BLOCK)
+        yield i, nodes, Tree(_hex(nodes.field("digest")), number == 0 and len(nodes) < WAYS**levels, levels)
 
 
-def _rooted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    roots = [bytes.fromhex(tree.root.decode()) for _, _, tree in _blocks(batch)]
+def _rooted(batch: pa.RecordBatch, levels: int) -> Iterator[pa.RecordBatch]:
+    roots = [bytes.fromhex(tree.root.decode()) for _, _, tree in _blocks(batch, levels)]
     names = ["grp", "place", "digest"]
     yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("block"), pa.array(roots, pa.binary())], names)
 
@@ -90,9 +89,9 @@ def _above(batch: pa.RecordBatch, i: int) -> list[tuple[bytes, bytes]]:
     return [(s["before"].hex().encode(), s["after"].hex().encode()) for s in batch.column("steps")[i].as_py()]
 
 
-def _descended(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _descended(batch: pa.RecordBatch, levels: int) -> Iterator[pa.RecordBatch]:
     """The way up from each node of a tier's blocks, continued by the way up from its block."""
-    for i, nodes, tree in _blocks(batch):
+    for i, nodes, tree in _blocks(batch, levels):
         above = batch.column("steps")[i].as_py()
         ways = [
             [{"before": bytes.fromhex(b.decode()), "after": bytes.fromhex(a.decode())} for b, a in tree.steps(place)] + above
@@ -100,9 +99,10 @@ def _descended(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ]
         kind = batch.schema.field("steps").type
         size = len(nodes)
+        first = batch.column("block")[i].as_py() * WAYS**levels
         columns = [
             pa.array([batch.column("grp")[i].as_py()] * size, pa.string()),
-            nodes.field("place"),
+            pa.array(range(first, first + size), pa.int64()),
             nodes.field("digest"),
             pa.array(ways, kind),
             pa.array([batch.column("subroot")[i].as_py()] * size, pa.binary()),
@@ -110,9 +110,9 @@ def _descended(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["grp", "place", "digest", "steps", "subroot"])
 
 
-def _proved(batch: pa.RecordBatch, versions: bool) -> Iterator[pa.RecordBatch]:
+def _proved(batch: pa.RecordBatch, levels: int, versions: bool) -> Iterator[pa.RecordBatch]:
     """Proof and version of every leaf of the lowest tier's blocks."""
-    for i, nodes, tree in _blocks(batch):
+    for i, nodes, tree in _blocks(batch, levels):
         above = _above(batch, i)
         beyond = b"".join(b + a for b, a in above)
         claims = nodes.field("claim").to_pylist()
@@ -137,21 +137,22 @@ def _proved(batch: pa.RecordBatch, versions: bool) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["key", "leaf", "subroot", "proof", "folded", *["copies"] * versions])
 
 
-def _tier(nodes: DataFrame, *carried: str) -> DataFrame:
-    """Nodes gathered into blocks; a block has at most ``BLOCK`` of them, so no group is gathered whole."""
-    node = F.struct((F.col("place") % BLOCK).cast("int").alias("place"), "digest", *carried)
-    block = F.floor(F.col("place") / BLOCK).cast("bigint")
+def _tier(nodes: DataFrame, levels: int, *carried: str) -> DataFrame:
+    """Nodes gathered into blocks, which are small, so no group is gathered whole."""
+    size = WAYS**levels
+    node = F.struct((F.col("place") % size).cast("int").alias("place"), "digest", *carried)
+    block = F.floor(F.col("place") / size).cast("bigint")
     return staged(nodes.groupBy("grp", block.alias("block")).agg(F.collect_list(node).alias("nodes")), "blocks")
 
 
-def _tiers(lowest: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def _tiers(lowest: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
     """The blocks of all tiers over ``lowest``, and the one node of each group that is left."""
     tiers = [lowest]
     while True:
-        roots = staged(arrow_map(tiers[-1], _rooted, "grp string, place bigint, digest binary"), "nodes")
+        roots = staged(arrow_map(tiers[-1], partial(_rooted, levels=levels), "grp string, place bigint, digest binary"), "nodes")
         if not roots.where("place > 0").head(1):
             return tiers, roots
-        tiers.append(_tier(roots))
+        tiers.append(_tier(roots, levels))
 
 
 @dataclass
@@ -162,13 +163,13 @@ class Manifest:
     top: list[DataFrame]
     names: DataFrame  # the groups in order, with their places
     root: bytes | None  # none for a table without rows
+    levels: int  # of a block
 
     def _down(self, tiers: list[DataFrame], ways: DataFrame) -> DataFrame:
         """From the ways up from the last tier's blocks to those from the first tier's."""
         for tier in reversed(tiers):
             joined = tier.join(ways.withColumnRenamed("place", "block").drop("digest"), ["grp", "block"])
-            ways = staged(arrow_map(joined, _descended, f"grp string, place int, digest binary, steps {STEPS}, subroot binary"), "ways")
-            ways = ways.withColumn("place", F.col("place").cast("bigint"))
+            ways = staged(arrow_map(joined, partial(_descended, levels=self.levels), f"grp string, place bigint, digest binary, steps {STEPS}, subroot binary"), "ways")
         return ways
 
     def proved(self, versions: bool = False) -> DataFrame:
@@ -188,7 +189,7 @@ class Manifest:
         lowest = self.tiers[0].join(ways.withColumnRenamed("place", "block").drop("digest"), ["grp", "block"])
         key = next(f for f in self.tiers[0].schema["nodes"].dataType.elementType.fields if f.name == "key").dataType
         schema = f"key {key.simpleString()}, leaf binary, subroot binary, proof binary, folded binary" + ", copies array<binary>" * versions
-        found = arrow_map(lowest, partial(_proved, versions=versions), schema).withColumn("root", F.lit(self.root))
+        found = arrow_map(lowest, partial(_proved, levels=self.levels, versions=versions), schema).withColumn("root", F.lit(self.root))
         return found.withColumn("verified", F.col("folded") == F.col("root"))
 
     def _named(self, ways: DataFrame) -> DataFrame:
@@ -198,7 +199,7 @@ class Manifest:
         return found.select(F.col("name").alias("grp"), F.lit(0).cast("bigint").alias("place"), "steps", F.col("digest").alias("subroot"))
 
 
-def manifest(rows: DataFrame, group: str, order: list[str], keys: list[str]) -> Manifest:
+def manifest(rows: DataFrame, group: str, order: list[str], keys: list[str], levels: int = LEVELS) -> Manifest:
     """The tree over ``rows``, which have ``leaf`` (binary digest) and may have ``claim`` (another digest of the row, or null).
 
     Rows of a group ascend by ``order`` (nulls first) and then by leaf; groups ascend by the
@@ -217,8 +218,8 @@ def manifest(rows: DataFrame, group: str, order: list[str], keys: list[str]) ->
     )
     sequence = [f"order{i}" for i in range(len(order))]
     ranked = placed(staged(narrow, "leaves"), ["grp"], [*sequence, "digest"]).drop(*sequence)
-    tiers, subroots = _tiers(_tier(ranked, "claim", "key"))
+    tiers, subroots = _tiers(_tier(ranked, levels, "claim", "key"), levels)
     names = placed(subroots.select("grp", "digest"), [], ["grp"], "subroots")
-    top, root = _tiers(_tier(names.select(F.lit("").alias("grp"), "digest", "place")))
+    top, root = _tiers(_tier(names.select(F.lit("").alias("grp"), "digest", "place"), levels), levels)
     found = root.first()
-    return Manifest(tiers, top, names, bytes(found["digest"]) if found else None)
+    return Manifest(tiers, top, names, bytes(found["digest"]) if found else None, levels)

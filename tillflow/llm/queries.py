@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillflow.llm import (
     bpe,
     byte_bpe,
+    conversations,
     decontamination,
     embeddings,
     language,
@@ -109,6 +110,36 @@ def op10_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut short, repeated or given to the user, by a checksum of their place."""
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    marked = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(place) % 20).alias("damage"))
+    damage = F.col("damage")
+    return marked.where(damage != 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(damage == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    found = conversations.repair(_damaged(rows))
+    left = found.conversations.join(found.digests(), "name", "left").drop("name")
+    known = F.col("digest").isNotNull()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    whole = rows.select("conv_id").distinct()
+    return whole.join(left.withColumnRenamed("conv_id", "id__"), F.col("conv_id").eqNullSafe(F.col("id__")), "left").select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.when(known, F.lower(F.hex("digest"))).otherwise(F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     lowered = F.translate("text", reputation.UPPER, reputation.LOWER)
@@ -140,7 +171,7 @@ def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op4_warc, op5_url_filter, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts, op10_embedding_duplicates, op12_merkle_manifest, op13_byte_bpe]
+_QUERIES = [op1_decontamination, op2_language_model, op3_best_fit_packing, op4_warc, op5_url_filter, op6_language_id, op7_simhash, op8_secret_scan, op9_token_counts, op10_embedding_duplicates, op11_conversation_repair, op12_merkle_manifest, op13_byte_bpe]
 
 _SUFFIXES = ", ".join(f"'{s}'" for s in reputation.TWO_LABELS)
 
@@ -176,7 +207,65 @@ def _words_sql(text: str) -> str:
 _FIVE_BITS = ", ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((n >> {k}) & 31), 1)" for k in (15, 10, 5, 0))
 
 
+# CRC-32 of a decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(c, b)),
+    4294967295))"""
+
+
+def _leaf_sql(text: str) -> str:
+    values = [f"CAST({v} AS VARCHAR)" for v in ("doc_id", "source", "lang", "n_chars", text)]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """CTEs over ``name``0 (g, p, d): nodes and siblings by level, and the root of each g; up to 16^levels nodes a g."""
+    ctes = []
+    for level in range(levels):
+        many = f"{name}{level} WHERE g IN (SELECT g FROM {name}{level} GROUP BY g HAVING count(*) > 1)"
+        side = "string_agg(d, '') OVER (PARTITION BY g, p // 16 ORDER BY p ROWS BETWEEN {})"
+        ctes.append(f"{name}{level + 1} AS (SELECT g, p // 16 AS p, sha256(string_agg(d, '' ORDER BY p)) AS d FROM {many} GROUP BY ALL)")
+        ctes.append(
+            f"{name}_ways{level} AS (SELECT g, p, coalesce({side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')}, '') AS a, "
+            f"coalesce({side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')}, '') AS b FROM {many})"
+        )
+    tops = [f"SELECT g, min(d) AS d FROM {name}{level} GROUP BY g HAVING count(*) = 1" for level in range(levels + 1)]
+    return ", ".join([*ctes, f"{name}_roots AS ({' UNION ALL '.join(tops)})"])
+
+
+def _climb_sql(source: str, name: str, levels: int) -> str:
+    """CTEs that take ``source`` (g, p, now, siblings, ...) up a tree, ending in ``name``_climbed."""
+    ctes, last = [], source
+    for level in range(levels):
+        this = f"{name}_climbed" if level == levels - 1 else f"{name}_up{level}"
+        ctes.append(
+            f"{this} AS (SELECT l.* REPLACE (CASE WHEN w.g IS NULL THEN l.p ELSE l.p // 16 END AS p, "
+            "siblings || coalesce(a || b, '') AS siblings, CASE WHEN w.g IS NULL THEN now ELSE sha256(a || now || b) END AS now) "
+            f"FROM {last} l LEFT JOIN {name}_ways{level} w ON l.g = w.g AND l.p = w.p)"
+        )
+        last = this
+    return ", ".join(ctes)
+
+
 SQL: dict[str, str] = {
+    "op12_merkle_manifest": f"""
+WITH base AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS g, {_leaf_sql('text')} AS leaf,
+         CASE WHEN {_CRC32} % 5 = 0 THEN {_leaf_sql(f"translate(text, '{reputation.UPPER}', '{reputation.LOWER}')")} END AS claim
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+         coalesce(claim, leaf) AS now, '' AS siblings
+  FROM base),
+s0 AS (SELECT g, p, leaf AS d FROM leaves), {_tree_sql('s', 6)}, {_climb_sql('leaves', 's', 6)},
+places AS (SELECT g AS source, d AS subroot, row_number() OVER (ORDER BY g) - 1 AS p FROM s_roots),
+t0 AS (SELECT 0 AS g, p, subroot AS d FROM places), {_tree_sql('t', 4)},
+through AS (
+  SELECT c.* REPLACE (0 AS g, places.p AS p), subroot FROM s_climbed c JOIN places ON c.g = places.source),
+{_climb_sql('through', 't', 4)}
+SELECT doc_id, leaf, subroot, d AS root, sha256(siblings) AS proof_sha256, now AS folded_root, now = d AS verified
+FROM t_climbed, t_roots""",
     "op1_decontamination": f"""
 WITH d AS (SELECT doc_id, {_words_sql('text')} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillflow.llm.work import under_own_names
 from tillflow.sources.staging import staged
 
 SCOPE = 256
@@ -163,6 +164,10 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
 
     All rows stay, with all their columns; null texts stay null.
     """
+    return under_own_names(docs, _redacted, text)
+
+
+def _redacted(docs: DataFrame, text: str) -> DataFrame:
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     marked = docs.withColumns({"hash__": F.xxhash64(whole), "size__": F.octet_length(whole)})
     # Spans depend on the text alone: they are kept without the texts, one row for each text.

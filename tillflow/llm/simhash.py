@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tillflow.llm.graph import components
 from tillflow.llm.text import NOT_BLANK, slices, words
-from tillflow.llm.work import arrow_map
+from tillflow.llm.work import arrow_map, under_own_names
 from tillflow.sources.staging import staged
 
 BITS = 64
@@ -132,11 +132,7 @@ def groups(prints: DataFrame, id_column: str = "doc_id", distance: int = 4, bloc
     fingerprint under which that id occurs (the smallest, should there be several).
     """
     distinct = staged(prints.groupBy("fingerprint").agg(F.min(id_column).alias("least")), "prints")
-    return grouped(distinct, components(links(distinct.select("fingerprint"), distance, blocks)))
-
-
-def grouped(distinct: DataFrame, roots: DataFrame) -> DataFrame:
-    """The columns of ``groups``, from the least id of each fingerprint and the components of the links."""
+    roots = components(links(distinct.select("fingerprint"), distance, blocks))
     placed = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     placed = placed.withColumn("root", F.coalesce("root", "fingerprint"))
     order = F.struct(F.col("least").isNull(), F.col("least"), F.col("fingerprint"))
@@ -162,32 +158,33 @@ def deduplicated(
 
     Of repeated rows one stays.  Documents without words form one component.
     """
-    hashed = named_texts(docs, text)
-    narrow = hashed.select(F.col(id_column).alias("id__"), "hash__", "size__", F.col(f"`{text}`").alias("text__"))
-    marked = staged(with_fingerprint(narrow, "text__", width, keep_text=False), "fingerprints")
-    named = keepers(marked, groups(marked, "id__", distance, blocks))
-    return chosen(hashed, named, id_column).select(*(f"`{c}`" for c in docs.columns))
+    return under_own_names(
+        docs, lambda given, i, t: _deduplicated(given, i, t, width, distance, blocks), id_column, text
+    )
 
 
-def named_texts(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with ``hash__`` and ``size__``, which name the text."""
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    return docs.withColumns({"hash__": F.xxhash64(whole), "size__": F.octet_length(whole)})
+# What names a row: its text by hash and size, and its id as a text that is never null.
+NAME = ["hash__", "size__", "key__"]
 
 
-def keepers(marked: DataFrame, found: DataFrame) -> DataFrame:
-    """Id and name of the text that stays of each component, from ``groups``.
+def _deduplicated(docs: DataFrame, id_column: str, text: str, width: int, distance: int, blocks: int) -> DataFrame:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    key = F.coalesce(F.concat(F.lit("1"), F.col(id_column).cast("string")), F.lit("0"))
+    named = docs.withColumns({"hash__": F.xxhash64(whole), "size__": F.octet_length(whole), "key__": key})
+    narrow = named.select(F.col(id_column).alias("id__"), *NAME, F.col(text).alias("text__"))
+    marked = staged(with_fingerprint(narrow, "text__", width, keep_text=False), "fingerprints")
+    kept = _keepers(marked, groups(marked, "id__", distance, blocks))
+    # Both want the rows by the same columns, so the texts are shuffled once, repeated rows put together before.
+    return named.dropDuplicates(NAME).join(kept, NAME, "left_semi")
 
-    It is one of the keeper's fingerprint under the smallest id; hash and size name it, so
-    neither the texts nor their fingerprints are stored or made again.
+
+def _keepers(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """Name of the row that stays of each component, from ``groups``.
+
+    It is one of the keeper's fingerprint under the smallest id, so neither the texts nor
+    their fingerprints are stored or made again.
     """
     kept = found.where("fingerprint = keeper").select("fingerprint", F.col("component_id").alias("id__"))
     same = (marked["fingerprint"] == kept["fingerprint"]) & marked["id__"].eqNullSafe(kept["id__"])
     named = marked.join(kept, same, "left_semi").groupBy("fingerprint")
-    return named.agg(F.min(F.struct("id__", "hash__", "size__")).alias("kept")).select("kept.*")
-
-
-def chosen(hashed: DataFrame, named: DataFrame, id_column: str) -> DataFrame:
-    """The rows that ``named`` has by id and text, each once."""
-    there = hashed[id_column].eqNullSafe(named["id__"]) & (hashed["hash__"] == named["hash__"]) & (hashed["size__"] == named["size__"])
-    return hashed.join(named, there, "left_semi").dropDuplicates([id_column, "hash__", "size__"])
+    return named.agg(F.min(F.struct(*NAME)).alias("kept")).select("kept.*")

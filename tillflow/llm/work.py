@@ -16,17 +16,14 @@ from tillflow.settings import configure
 from tillflow.sources.staging import shared_folder
 
 ARCHIVE = "tillflow-workers.zip"
-SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
-}
+BATCH_ROWS, BATCH_BYTES = 4096, 32 << 20
 
 
-def prepared(spark: SparkSession) -> SparkSession:
+def prepared(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> SparkSession:
     """Bounded Arrow batches, and this package on the path of all Python workers."""
     configure(spark)
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     if not any(name.endswith(ARCHIVE) for name in spark.sparkContext._python_includes):
         root = Path(tillflow.__file__).resolve().parent
         archive = Path(tempfile.mkdtemp(prefix="tillflow-")) / ARCHIVE
@@ -46,6 +43,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def under_own_names(docs: DataFrame, function: Callable[..., DataFrame], *columns: str) -> DataFrame:
+    """``function(docs, *columns)`` with all columns named ``given0``, ``given1`` ..., so that no name it makes clashes.
+
+    function returns rows with these columns; they come back under their names.
+    """
+    names = {name: f"given{i}" for i, name in enumerate(docs.columns)}
+    found = function(docs.toDF(*names.values()), *(names[c] for c in columns))
+    return found.select(*names.values()).toDF(*names)
+
+
 def arrow_map(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
