@@ -7,37 +7,41 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontamination, language, packing, secrets, shingles
+from tillflow.llm import decontamination, language, packing, secrets, simhash
 from tillflow.llm.work import new_folder, prepared, table
 
 
+# Texts go to the Python workers in smaller batches here, as stages also hold what they make of them.
+BATCH_BYTES = 8 << 20
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without a language that holds three words in ten, go."""
-    prepared(spark)
+    prepared(spark, BATCH_BYTES)
     return language.accepted(docs, language.learn(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts whose sets of five words are 0.8 alike (Jaccard), the document with the smallest id stays."""
-    prepared(spark)
-    return shingles.deduplicated(docs)
+    """Of each group of texts whose SimHashes of four-word shingles are linked at up to four bits, that with the smallest id stays."""
+    prepared(spark, BATCH_BYTES)
+    return simhash.deduplicated(docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item (or a shorter one whole) go."""
-    prepared(spark)
+    prepared(spark, BATCH_BYTES)
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; secrets and linked parts of credentials are masked in their texts."""
-    prepared(spark)
+    prepared(spark, BATCH_BYTES)
     return secrets.redacted(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed into sequences of 2048."""
-    prepared(spark)
+    prepared(spark, BATCH_BYTES)
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
@@ -55,7 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written as Parquet and read again as the next one's documents."""
-    docs = table(prepared(spark), sf_dir, "documents")
+    docs = table(prepared(spark, BATCH_BYTES), sf_dir, "documents")
     for name, stage in STAGES:
         path = new_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
