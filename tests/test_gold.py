@@ -22,7 +22,7 @@ from tillflow.functions.money import rounded_mean
 from tillflow.operators.enrich import silver_rows
 from tillflow.operators.rank import dense_rank_desc
 from tillflow.plans import gold
-from tillflow.schemas import GOLD
+from tillflow.gold_tables import GOLD
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,8 @@ from sales import line, random_lines, write_csv
 
 from tillflow.plans import medallion
 from tillflow.schemas import BRONZE, RAW
-from tillflow.sources.lake import read_bronze
+from tillflow.sinks import loads
+from tillflow.sources.lake import read_bronze, read_ledger, read_refused_files
 from tillflow.sources.landing import file_headers, read_csv
 
 
@@ -20,7 +21,7 @@ def test_load_appends_rows_as_they_are(spark, lake, landing):
     write_csv(landing / "a.csv", random_lines(1, 20))
     write_csv(landing / "b.csv", random_lines(2, 5))
     assert medallion.ingest(spark, lake, str(landing)) == medallion.Load(25)
-    assert medallion.ingest(spark, lake, str(landing / "b.csv")).row_count == 5
+    assert medallion.ingest(spark, lake, str(landing / "b.csv"), again=True).row_count == 5
     bronze = read_bronze(spark, lake)
     assert set(bronze.columns) == set(BRONZE.names)
     files = {r["source_file"].rsplit("/", 1)[1]: r["count"] for r in bronze.groupBy("source_file").count().collect()}
@@ -61,6 +62,55 @@ def test_delivery_of_wrong_headers_only(spark, lake, landing):
     assert load.row_count == 0 and len(load.rejected_files) == 1
 
 
+def test_known_files_are_passed_over_until_replaced(spark, lake, landing):
+    write_csv(landing / "a [1] {x}*.csv", random_lines(1, 20))
+    (landing / "bad.csv").write_text("a,b,c\n1,2,3\n")
+    (landing / "empty.csv").write_text("")
+    first = medallion.ingest(spark, lake, str(landing))
+    assert first.row_count == 20 and [f.rsplit("/", 1)[1] for f in first.rejected_files] == ["bad.csv"]
+    for _ in range(2):
+        assert medallion.ingest(spark, lake, str(landing)) == medallion.Load(0)
+    write_csv(landing / "a [1] {x}*.csv", random_lines(1, 3))
+    write_csv(landing / "bad.csv", random_lines(2, 4))
+    assert medallion.ingest(spark, lake, str(landing)) == medallion.Load(7)
+    assert read_bronze(spark, lake).count() == 27
+    lines = {(r["path"].rsplit("/", 1)[1], r["verdict"]) for r in read_ledger(spark, lake).collect()}
+    assert lines == {("a [1] {x}*.csv", "loaded"), ("bad.csv", "refused"), ("bad.csv", "loaded")}, "there is nothing in empty files"
+
+
+def test_delivery_in_several_loads(spark, lake, landing, monkeypatch):
+    monkeypatch.setattr(medallion, "FILES_AT_ONCE", 2)
+    monkeypatch.setattr(medallion, "NAMED_FILES", 1)
+    for i in range(5):
+        write_csv(landing / f"{i}.csv", [line(f"T{i}{j}") for j in range(i + 1)])
+    for name in ("bad1.csv", "bad2.csv"):
+        (landing / name).write_text("a\n1\n")
+    load = medallion.ingest(spark, lake, str(landing))
+    assert load.row_count == 15 and len(load.rejected_files) == 1
+    assert read_refused_files(spark, lake).count() == 2 and read_ledger(spark, lake).select("load").distinct().count() == 4
+
+
+@pytest.mark.parametrize("point", ["_replace", "remove"])
+def test_interrupted_load_is_taken_back_or_finished(spark, lake, landing, monkeypatch, point):
+    write_csv(landing / "a.csv", random_lines(1, 20))
+    original, calls = getattr(loads, point), []
+
+    def interrupted(*args):
+        calls.append(args)
+        if point == "remove" or len(calls) == 3:  # before the ledger is written, or after
+            raise OSError("lost")
+        return original(*args)
+
+    monkeypatch.setattr(loads, point, interrupted)
+    with pytest.raises(OSError, match="lost"):
+        medallion.ingest(spark, lake, str(landing))
+    monkeypatch.undo()
+    assert read_bronze(spark, lake).count() == 20
+    for _ in range(2):
+        medallion.ingest(spark, lake, str(landing))
+        assert read_bronze(spark, lake).count() == 20
+
+
 def test_other_failures_are_not_swallowed(spark, lake, landing):
     with pytest.raises(Exception, match="(?i)path"):
         medallion.ingest(spark, lake, str(landing / "nothing-here"))

@@ -15,9 +15,9 @@ from tillflow.operators.gold import daily_revenue, store_totals
 from tillflow.operators.rank import dense_rank_desc
 from tillflow.plans import medallion, serving
 from tillflow.schemas import BRONZE, SILVER_PARTITIONS
-from tillflow.sinks.upsert import _in_partitions, upsert
+from tillflow.sinks.upsert import upsert
 from tillflow.sources import staging
-from tillflow.sources.lake import read_silver, stored
+from tillflow.sources.lake import in_partitions, read_silver, stored
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -85,7 +85,7 @@ def test_upsert_reads_touched_partitions_only(spark, lake):
     silver = medallion.to_silver(bronze(spark, random_lines(73, 80)))
     upsert(silver, lake.silver, "transaction_id", SILVER_PARTITIONS)
     touched = [{"year": 2025, "month": 1}]
-    part = read_silver(spark, lake).filter(_in_partitions(touched, SILVER_PARTITIONS))
+    part = read_silver(spark, lake).filter(in_partitions(touched, SILVER_PARTITIONS))
     assert "PartitionFilters: [(concat_ws(/, cast(year" in plan(part)
     assert {f.rsplit("/", 2)[1] for f in part.inputFiles()} >= {"month=1"}
     assert part.select("year", "month").distinct().collect() == [(2025, 1)]

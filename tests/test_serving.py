@@ -5,7 +5,7 @@ from sales import bronze, line, random_lines
 
 from tillflow.operators.enrich import silver_rows
 from tillflow.plans import gold, serving
-from tillflow.schemas import GOLD
+from tillflow.gold_tables import GOLD
 from tillflow.sources.staging import staged
 
 

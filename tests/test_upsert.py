@@ -10,7 +10,7 @@ from tillflow.plans import medallion
 from tillflow.schemas import SILVER, SILVER_PARTITIONS
 from tillflow.sinks import upsert as upsert_module
 from tillflow.sinks.upsert import recover, upsert
-from tillflow.sources.lake import Lake, read_quarantine, read_silver, stored
+from tillflow.sources.lake import Lake, in_partitions, read_quarantine, read_silver, stored
 
 KEY = "transaction_id"
 
@@ -72,7 +72,7 @@ def test_thousands_of_touched_months(spark, tmp_path):
     path = str(tmp_path / "silver")
     put(spark, path, [line("A"), line("B", day="2023-01-01")])
     wanted = [{"year": y, "month": m} for y in range(1850, 2024) for m in range(1, 13)]
-    found = stored(spark, path, SILVER).filter(upsert_module._in_partitions(wanted, SILVER_PARTITIONS))
+    found = stored(spark, path, SILVER).filter(in_partitions(wanted, SILVER_PARTITIONS))
     assert len(wanted) > 2000 and [r[KEY] for r in found.collect()] == ["B"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [concat_ws(/" in plan, "months are pruned"
@@ -132,7 +132,7 @@ def test_delta_needs_its_package(spark, tmp_path):
 def test_delta_merge_statement(spark, tmp_path, monkeypatch):
     """The package is absent here, so only the statement itself can be checked."""
     statements = []
-    monkeypatch.setattr(upsert_module, "stored", lambda *args: spark.range(0))
+    monkeypatch.setattr(upsert_module, "stored", lambda *args: spark.createDataFrame([], SILVER))
     monkeypatch.setattr(type(spark), "sql", lambda self, text: statements.append(text))
     upsert(medallion.to_silver(bronze(spark, [line("A")])), str(tmp_path / "s"), KEY, SILVER_PARTITIONS, "delta")
     monkeypatch.undo()

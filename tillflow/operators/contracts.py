@@ -5,7 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.schemas import GOLD, INTEGER_MAX, SERVING_UNIQUE, SERVING_WIDTHS, serving_columns
+from tillflow.gold_tables import GOLD, TABLES, serving_columns
+from tillflow.schemas import INTEGER_MAX, INTEGER_MIN
 
 VIOLATIONS = "violations"
 
@@ -13,11 +14,11 @@ VIOLATIONS = "violations"
 def _row_rules(table: str) -> dict[tuple[str, str], Column]:
     """(column, rule) -> condition of a row that breaks it."""
     rules = {(c, "not_null"): F.col(c).isNull() for c in serving_columns(table)}
-    for column, width in SERVING_WIDTHS[table].items():
+    for column, width in TABLES[table].widths.items():
         rules[column, f"varchar({width})"] = F.char_length(column) > width
     for field in GOLD[table]:
         if field.dataType.typeName() in ("integer", "long"):
-            rules[field.name, "integer"] = F.abs(F.col(field.name)) > INTEGER_MAX
+            rules[field.name, "integer"] = ~F.col(field.name).between(INTEGER_MIN, INTEGER_MAX)
     return rules
 
 
@@ -28,7 +29,7 @@ def violations(table: str, gold: DataFrame) -> DataFrame:
     other rules ride along in the same aggregation.
     """
     rules = _row_rules(table)
-    unique = SERVING_UNIQUE.get(table)
+    unique = TABLES[table].unique
     counts = {f"_{i}": condition for i, condition in enumerate(rules.values())}
     if unique is None:
         totals = gold.agg(*[F.count_if(c).alias(n) for n, c in counts.items()])

@@ -1,4 +1,4 @@
-"""The four Gold aggregates over Silver.
+"""The four Gold aggregates over Silver, from their declarations.
 
 Silver holds one row per transaction, so the number of transactions of a group
 is a plain row count and only the remaining distinct counts need a second
@@ -7,86 +7,48 @@ distinct counts by (group, counted value), so one hot group is spread over tasks
 Revenue leaves as exact decimals; :func:`as_published` turns it into doubles.
 """
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tillflow.functions.calendar import week_year as week_year_of
-from tillflow.functions.money import rounded_mean, to_double
+from tillflow.functions.money import to_double
+from tillflow.gold_tables import (
+    CATEGORY_TRENDS,
+    DAILY_REVENUE,
+    PRODUCT_PERFORMANCE,
+    STORE_PERFORMANCE,
+    GoldTable,
+)
 
 
-# Measures that several tables share.
-def _revenue() -> Column:
-    return F.sum("net_revenue")
+def grouped(rows: DataFrame, table: GoldTable, week_year: str = "calendar") -> DataFrame:
+    """Rows with the table's grain; ``year`` is the year that a week is filed under."""
+    return rows.withColumn("year", week_year_of("date", week_year)) if table is CATEGORY_TRENDS else rows
 
 
-def _units() -> Column:
-    return F.sum("quantity")
-
-
-def _lines() -> Column:
-    return F.count(F.lit(1))
-
-
-def _mean(column: str, times: int = 1) -> Column:
-    return rounded_mean(F.sum(column) * times, _lines())
-
-
-def _table(silver: DataFrame, grain: list[str], **measures: Column) -> DataFrame:
-    return silver.groupBy(*grain).agg(*[measure.alias(name) for name, measure in measures.items()])
+def totals(silver: DataFrame, table: GoldTable, week_year: str = "calendar") -> DataFrame:
+    """One row for each group, not yet ranked."""
+    measures = [measure.formula().alias(measure.name) for measure in table.measures]
+    return grouped(silver, table, week_year).groupBy(*table.keys).agg(*measures)
 
 
 def daily_revenue(silver: DataFrame) -> DataFrame:
     """Revenue, volume and customers per day and region."""
-    return _table(
-        silver,
-        ["date", "store_region"],
-        total_revenue=_revenue(),
-        gross_revenue=F.sum("gross_revenue"),
-        total_discounts=F.sum("discount_amount"),
-        units_sold=_units(),
-        transaction_count=_lines(),
-        unique_customers=F.count_distinct("customer_id"),
-        avg_basket_value=_mean("net_revenue"),
-    )
+    return totals(silver, DAILY_REVENUE)
 
 
 def product_totals(silver: DataFrame) -> DataFrame:
     """Lifetime figures per product, not yet ranked."""
-    return _table(
-        silver,
-        ["product_id", "product_name", "category"],
-        total_revenue=_revenue(),
-        total_units_sold=_units(),
-        avg_selling_price=_mean("unit_price"),
-        avg_discount_pct=_mean("discount_pct", times=100),
-        total_transactions=_lines(),
-        stores_selling=F.count_distinct("store_id"),
-    )
+    return totals(silver, PRODUCT_PERFORMANCE)
 
 
 def store_totals(silver: DataFrame) -> DataFrame:
     """Lifetime figures per store, not yet ranked."""
-    return _table(
-        silver,
-        ["store_id", "store_name", "store_region"],
-        total_revenue=_revenue(),
-        total_units_sold=_units(),
-        total_transactions=_lines(),
-        unique_customers=F.count_distinct("customer_id"),
-        avg_transaction_value=_mean("net_revenue"),
-        unique_products_sold=F.count_distinct("product_id"),
-    )
+    return totals(silver, STORE_PERFORMANCE)
 
 
 def category_trends(silver: DataFrame, week_year: str = "calendar") -> DataFrame:
     """Weekly revenue and volume per category."""
-    return _table(
-        silver.withColumn("year", week_year_of("date", week_year)),
-        ["year", "week", "category"],
-        weekly_revenue=_revenue(),
-        weekly_units_sold=_units(),
-        distinct_products=F.count_distinct("product_id"),
-    )
+    return totals(silver, CATEGORY_TRENDS, week_year)
 
 
 def as_published(gold: DataFrame) -> DataFrame:

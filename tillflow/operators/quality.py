@@ -1,6 +1,7 @@
 """Data-quality rules: which Bronze rows may enter Silver, and why the others may not."""
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,19 +57,23 @@ def accepted(bronze: DataFrame, strict: Iterable[str] = ()) -> DataFrame:
     return bronze
 
 
+def _broken(bronze: DataFrame, strict: Iterable[str]) -> dict[str, Column]:
+    return {name: ~F.coalesce(condition, F.lit(False)) for name, condition in _requirements(bronze, strict).items()}
+
+
+def is_rejected(bronze: DataFrame, strict: Iterable[str] = ()) -> Column:
+    """Whether a row breaks any rule."""
+    return reduce(Column.__or__, _broken(bronze, strict).values())
+
+
 def rejected(bronze: DataFrame, strict: Iterable[str] = ()) -> DataFrame:
     """The complement of :func:`accepted`, with the array of broken rules.
 
     A malformed CSV line is named as such next to the rule it breaks; on its own
     it is a reason only when ``corrupt_record`` is among the strict rules.
     """
-    broken = {
-        name: ~F.coalesce(condition, F.lit(False))
-        for name, condition in _requirements(bronze, strict).items()
-    }
-    any_broken = F.lit(False)
-    for condition in broken.values():
-        any_broken = any_broken | condition
+    broken = _broken(bronze, strict)
+    any_broken = is_rejected(bronze, strict)
     if CORRUPT in bronze.columns:
         broken["corrupt_record"] = F.col(CORRUPT).isNotNull()
     names = F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in broken.items()])

@@ -1,57 +1,61 @@
 """Loading, cleaning and aggregating: the operations a scheduler calls."""
 
+import datetime
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import partial
+from itertools import batched
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.enrich import silver_rows
-from tillflow.operators.quality import rejected
-from tillflow.plans.gold import all_tables
+from tillflow.operators.quality import is_rejected, rejected
+from tillflow.plans.gold import all_tables, changed_tables
 from tillflow.schemas import BRONZE_PARTITIONS, KEY, SILVER, SILVER_PARTITIONS
+from tillflow.sinks import changes, loads
 from tillflow.sinks.gold import publish
-from tillflow.sinks.tables import append, overwrite, overwrite_partitions
-from tillflow.sinks.upsert import upsert
-from tillflow.sources.lake import Date, Lake, processed_until, read_bronze, read_silver
-from tillflow.sources.landing import file_headers, read_csv, with_load_metadata
+from tillflow.sinks.loads import FILES_AT_ONCE, new_files, take_in
+from tillflow.sinks.tables import overwrite, overwrite_partitions
+from tillflow.sinks.upsert import recover, upsert
+from tillflow.sources.lake import Date, Lake, gold_versions, processed_until, read_bronze, read_gold, read_silver
+from tillflow.sources.landing import list_files
 from tillflow.sources.staging import cleared, remove, staged
 
 
+NAMED_FILES = 1000
+
+
 @dataclass(frozen=True)
 class Load:
-    """What a Bronze load took in; files with a wrong header are left out whole."""
+    """What a Bronze load took in; files with a wrong header are left out whole.
+
+    ``rejected_files`` names the first ``NAMED_FILES`` of them; ``read_refused_files`` has all.
+    """
 
     row_count: int
     rejected_files: list[str] = field(default_factory=list)
 
 
-def ingest(spark: SparkSession, lake: Lake, source: str) -> Load:
-    """Append the CSV files at ``source`` to Bronze as they are.
+def ingest(spark: SparkSession, lake: Lake, source: str, again: bool = False) -> Load:
+    """Append the CSV files at ``source`` to Bronze as they are, each once.
 
-    Spark checks each header while reading, so a clean delivery is read once.  A
-    wrong header fails the load before anything is committed; only then are the
-    headers listed and the good files loaded.
+    Files that were loaded or refused before are passed over, unless they were replaced since
+    or ``again`` asks for all.  What an interrupted call has left is taken away first.  A large
+    delivery becomes several loads of ``FILES_AT_ONCE`` files.
     """
-    try:
-        return Load(_append_to_bronze(spark, lake, source))
-    except Exception as failure:
-        if "CSV header" not in str(failure):
-            raise
-        # One line per file, of the delivery at hand.
-        headers = file_headers(spark, source).collect()
-        good = [h["file"] for h in headers if h["ok"]]
-        bad = sorted(h["file"] for h in headers if not h["ok"])
-        if not bad:
-            raise
-    refused = spark.createDataFrame([(name, "wrong header") for name in bad], "file string, reason string")
-    refused.withColumn("refused_at", F.current_timestamp()).write.mode("append").parquet(lake.refused_files)
-    return Load(_append_to_bronze(spark, lake, good) if good else 0, bad)
-
-
-def _append_to_bronze(spark: SparkSession, lake: Lake, source: str | list[str]) -> int:
-    bronze = with_load_metadata(read_csv(spark, source))
-    return append(bronze, lake.bronze, BRONZE_PARTITIONS, lake.table_format)
+    loads.recover(spark, lake, lake.bronze)
+    listing = list_files(spark, source)
+    with cleared(spark):
+        files = staged(listing if again else new_files(spark, lake, listing), "files")
+        rows, bad = 0, []
+        for part in batched(files.orderBy("path").toLocalIterator(), FILES_AT_ONCE):
+            load = f"{datetime.datetime.now(datetime.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+            count, refused = take_in(spark, lake, list(part), lake.bronze, load)
+            rows += count
+            bad += refused[: NAMED_FILES - len(bad)]
+    return Load(rows, bad)
 
 
 def to_silver(bronze: DataFrame, strict: Iterable[str] = ()) -> DataFrame:
@@ -63,6 +67,12 @@ def to_silver(bronze: DataFrame, strict: Iterable[str] = ()) -> DataFrame:
     )
 
 
+def merge_into_silver(spark: SparkSession, lake: Lake, rows: DataFrame) -> None:
+    """Merge Silver rows with unique keys, and note which groups of the Gold tables they touch."""
+    log = partial(changes.log, spark, lake.changes)
+    upsert(rows, lake.silver, KEY, SILVER_PARTITIONS, lake.table_format, log=log)
+
+
 def refresh_silver(
     spark: SparkSession, lake: Lake, since: Date | None = None, strict: Iterable[str] = ()
 ) -> None:
@@ -73,11 +83,16 @@ def refresh_silver(
     order of calls, and the quarantine of every run date read is replaced, also by
     nothing.  What the streaming feed took in is merged by ``feed_silver``, which
     has its own quarantine.  A row that Silver has stays there if later rules would
-    refuse it.
+    refuse it.  The merge counts the rows that it refuses; only if there are some is
+    Bronze read again for them.
     """
     bronze = read_bronze(spark, lake, since, feed=False)
-    upsert(to_silver(bronze, strict), lake.silver, KEY, SILVER_PARTITIONS, lake.table_format)
+    seen = Observation("refused")
+    watched = bronze.observe(seen, F.count_if(is_rejected(bronze, strict)).alias("row_count"))
+    merge_into_silver(spark, lake, to_silver(watched, strict))
     refused = rejected(bronze, strict)
+    if seen.get.get("row_count") == 0:
+        refused = spark.createDataFrame([], refused.schema)
     if since is None:
         overwrite(refused, lake.quarantine, BRONZE_PARTITIONS)
         return
@@ -91,10 +106,28 @@ def refresh_silver(
             remove(spark, f"{lake.quarantine}/pipeline_run_date={row[0]}")
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, week_year: str = "calendar") -> str:
-    """Rebuild the four Gold tables from Silver; returns the version published."""
+def refresh_gold(spark: SparkSession, lake: Lake, week_year: str = "calendar", full: bool = False) -> str:
+    """Bring the four Gold tables up to Silver; returns the version that is current then.
+
+    Only groups that merges have touched since the last publication are computed, and nothing
+    is published if there are none.  All are computed the first time, for another
+    ``week_year``, and with ``full``, as is needed if Silver was written otherwise than by
+    :func:`merge_into_silver`.
+    """
+    if lake.table_format != "delta":
+        recover(spark, lake.silver, SILVER, SILVER_PARTITIONS, KEY)
+    silver = read_silver(spark, lake)
+    until = changes.newest(spark, lake.changes)
+    last = gold_versions(spark, lake).first()
+    known = last and last["changes_until"] is not None and last["week_year"] == week_year
     with cleared(spark):
-        return publish(spark, lake, all_tables(read_silver(spark, lake), week_year))
+        if full or not known:
+            return publish(spark, lake, all_tables(silver, week_year), until, week_year)
+        if last["changes_until"] == until:
+            return last["version"]
+        touched = changes.changes_after(spark, lake.changes, last["changes_until"], until)
+        tables = changed_tables(read_gold(spark, lake, last["version"]), silver, touched, week_year)
+        return publish(spark, lake, tables, until, week_year)
 
 
 def run(spark: SparkSession, lake: Lake, source: str, since: Date | None = None) -> Load:

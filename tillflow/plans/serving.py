@@ -5,20 +5,22 @@ Where an order had ties, the id or region of the row settles them, so that pages
 and top lists are the same on every run.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import rounded_mean
 from tillflow.functions.text import contains_ignoring_case
+from tillflow.gold_tables import serving_columns
+from tillflow.plans.distincts import unique_customers
 from tillflow.schemas import (
     DEFAULT_PAGE_SIZE,
     DEFAULT_TOP,
     MAX_PAGE_SIZE,
     MAX_TOP,
     NO_NAME,
-    serving_columns,
 )
-from tillflow.sources.lake import Date, Lake, read_gold, read_silver
+from tillflow.sinks.retention import HOURS, register_reader, release_reader
+from tillflow.sources.lake import Date, Lake, latest_gold_version, read_gold, read_silver
 
 
 def _within(name: str, value: int, low: int, high: int | None = None) -> None:
@@ -140,6 +142,34 @@ def daily_revenue_page(
     )
 
 
+def daily_revenue_after(
+    daily: DataFrame,
+    after: tuple[Date, str | None] | None = None,
+    size: int = DEFAULT_PAGE_SIZE,
+    start_date: Date | None = None,
+    end_date: Date | None = None,
+    region: str | None = None,
+) -> DataFrame:
+    """The rows of :func:`daily_revenue` that follow a token, latest day first.
+
+    The token is the day and region of the last row seen (see :func:`page_token`), None for the
+    first page.  It is a predicate that reaches the scan, so a page costs the same however deep
+    it lies, where an offset sorts all rows before it.  Regions without a name come first in a day.
+    """
+    _within("size", size, 1, MAX_PAGE_SIZE)
+    matching = daily_revenue(daily, start_date, end_date, region)
+    if after is not None:
+        day, name = F.lit(after[0]).cast("date"), after[1]
+        later = F.col("store_region").isNotNull() if name is None else F.col("store_region") > name
+        matching = matching.filter((F.col("date") <= day) & ((F.col("date") < day) | later))
+    return matching.orderBy(F.desc("date"), "store_region").limit(size)
+
+
+def page_token(rows: list[Row]) -> tuple[Date, str | None] | None:
+    """What :func:`daily_revenue_after` needs to go on behind a collected page; None if that was empty."""
+    return (rows[-1]["date"], rows[-1]["store_region"]) if rows else None
+
+
 def daily_revenue_envelope(daily: DataFrame, page: int = 1, size: int = DEFAULT_PAGE_SIZE, **filters) -> DataFrame:
     """The page as one row (total, page, size, data); there also beyond the last page."""
     rows = daily_revenue_page(daily, page=page, size=size, **filters)
@@ -203,14 +233,32 @@ def category_trends(
 
 
 class Reports:
-    """The serving queries bound to the Gold version current at construction."""
+    """The serving queries bound to the Gold version current at construction.
+
+    That version is kept from ``expire_gold`` until :meth:`close`, the end of a ``with`` block,
+    or ``hours`` have passed.
+    """
 
-    def __init__(self, spark: SparkSession, lake: Lake) -> None:
+    def __init__(self, spark: SparkSession, lake: Lake, hours: float = HOURS) -> None:
         self._spark, self._lake = spark, lake
-        gold = read_gold(spark, lake)
+        version = latest_gold_version(spark, lake)
+        self._reader = register_reader(spark, lake, version, hours) if version else None
+        gold = read_gold(spark, lake, version)
         self._daily, self._trends = gold["daily_revenue"], gold["category_trends"]
         self._products, self._stores = gold["product_performance"], gold["store_performance"]
 
+    def __enter__(self) -> "Reports":
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Let the version go."""
+        if self._reader:
+            release_reader(self._spark, self._lake, self._reader)
+            self._reader = None
+
     def summary(self) -> DataFrame:
         return kpi_summary(self._daily, self._products, self._stores)
 
@@ -221,6 +269,13 @@ class Reports:
     def daily_revenue(self, page: int = 1, size: int = DEFAULT_PAGE_SIZE, **filters) -> DataFrame:
         return daily_revenue_page(self._daily, page=page, size=size, **filters)
 
+    def daily_revenue_after(self, after: tuple[Date, str | None] | None = None, size: int = DEFAULT_PAGE_SIZE, **filters) -> DataFrame:
+        return daily_revenue_after(self._daily, after, size, **filters)
+
+    def unique_customers(self, by: list[str], start_date: Date | None = None, end_date: Date | None = None) -> DataFrame:
+        """Exact distinct customers of any days, where ``refresh_distincts`` keeps them."""
+        return unique_customers(self._spark, self._lake, by, start_date, end_date)
+
     def daily_revenue_envelope(self, page: int = 1, size: int = DEFAULT_PAGE_SIZE, **filters) -> DataFrame:
         return daily_revenue_envelope(self._daily, page=page, size=size, **filters)
 

@@ -1,4 +1,4 @@
-"""Column names, types and limits shared by every layer.
+"""Column names, types and limits shared by every layer; ``gold_tables`` has the Gold tables.
 
 The names, types, orders and numeric limits in this file are fixed values:
 they have to equal those of the data files and serving tables users already own.
@@ -11,7 +11,6 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -95,83 +94,7 @@ SILVER_PARTITIONS = ["year", "month"]
 RECENCY = "ingestion_timestamp"
 TIE_BREAK = [name for name in RAW.names if name != KEY]
 
-GOLD = {
-    "daily_revenue": _struct(
-        date=DateType(),
-        store_region=StringType(),
-        total_revenue=DoubleType(),
-        gross_revenue=DoubleType(),
-        total_discounts=DoubleType(),
-        units_sold=LongType(),
-        transaction_count=LongType(),
-        unique_customers=LongType(),
-        avg_basket_value=DoubleType(),
-        processed_at=TimestampType(),
-    ),
-    "product_performance": _struct(
-        product_id=StringType(),
-        product_name=StringType(),
-        category=StringType(),
-        total_revenue=DoubleType(),
-        total_units_sold=LongType(),
-        avg_selling_price=DoubleType(),
-        avg_discount_pct=DoubleType(),
-        total_transactions=LongType(),
-        stores_selling=LongType(),
-        revenue_rank=IntegerType(),
-        processed_at=TimestampType(),
-    ),
-    "store_performance": _struct(
-        store_id=StringType(),
-        store_name=StringType(),
-        store_region=StringType(),
-        total_revenue=DoubleType(),
-        total_units_sold=LongType(),
-        total_transactions=LongType(),
-        unique_customers=LongType(),
-        avg_transaction_value=DoubleType(),
-        unique_products_sold=LongType(),
-        revenue_rank=IntegerType(),
-        processed_at=TimestampType(),
-    ),
-    "category_trends": _struct(
-        year=IntegerType(),
-        week=IntegerType(),
-        category=StringType(),
-        weekly_revenue=DoubleType(),
-        weekly_units_sold=LongType(),
-        distinct_products=LongType(),
-        processed_at=TimestampType(),
-    ),
-}
-GOLD_PARTITIONS = {
-    "daily_revenue": ["store_region"],
-    "product_performance": [],
-    "store_performance": [],
-    "category_trends": ["year"],
-}
-GOLD_ORDER = {
-    "daily_revenue": ["date", "store_region"],
-    "product_performance": ["revenue_rank", "product_id"],
-    "store_performance": ["revenue_rank", "store_id"],
-    "category_trends": ["year", "week", "category"],
-}
-
-
-def serving_columns(table: str) -> list[str]:
-    """Columns a serving query returns: everything but the processing stamp."""
-    return [name for name in GOLD[table].names if name != "processed_at"]
-
-
-# Widths and keys of the relational copies of the Gold tables.
-SERVING_WIDTHS = {
-    "daily_revenue": {"store_region": 100},
-    "product_performance": {"product_id": 20, "product_name": 200, "category": 100},
-    "store_performance": {"store_id": 20, "store_name": 200, "store_region": 100},
-    "category_trends": {"category": 100},
-}
-SERVING_UNIQUE = {"product_performance": "product_id", "store_performance": "store_id"}
-INTEGER_MAX = 2147483647
+INTEGER_MIN, INTEGER_MAX = -2147483648, 2147483647
 
 # Request limits of the serving queries.
 DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE = 20, 100

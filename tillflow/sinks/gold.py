@@ -6,25 +6,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.schemas import GOLD, GOLD_ORDER, GOLD_PARTITIONS
+from tillflow.gold_tables import GOLD, STAMP, TABLES
 from tillflow.sinks.tables import overwrite
 from tillflow.sources.lake import Lake, read_gold
 
 
-def publish(spark: SparkSession, lake: Lake, gold: dict[str, DataFrame]) -> str:
+def publish(
+    spark: SparkSession, lake: Lake, gold: dict[str, DataFrame], changes_until: int | None = None, week_year: str = "calendar"
+) -> str:
     """Write all four tables as a new version, then make it the current one.
 
     The last step appends one line, so readers switch between complete sets of
-    tables and a failed run leaves the previous version in place.
+    tables and a failed run leaves the previous version in place.  changes_until:
+    the last change of Silver that the tables have; without it the next refresh
+    builds them anew.
     """
     version = f"{datetime.datetime.now(datetime.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    for table, df in gold.items():
-        stamped = df.withColumn("processed_at", F.current_timestamp()).select(*GOLD[table].names)
-        overwrite(
-            stamped, lake.gold(version, table), GOLD_PARTITIONS[table], GOLD_ORDER[table], lake.table_format
-        )
+    for name, df in gold.items():
+        table = TABLES[name]
+        stamped = df.withColumn(STAMP, F.current_timestamp()).select(*GOLD[name].names)
+        overwrite(stamped, lake.gold(version, name), table.partitions, table.order, lake.table_format)
     line = spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
+        F.lit(version).alias("version"),
+        F.current_timestamp().alias("published_at"),
+        F.lit(changes_until).cast("long").alias("changes_until"),
+        F.lit(week_year).alias("week_year"),
     )
     line.coalesce(1).write.mode("append").parquet(lake.gold_versions)
     return version

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.gold_tables import GOLD, TABLES
 from tillflow.operators.contracts import require_contract
-from tillflow.schemas import GOLD, SERVING_WIDTHS
 
 # Parallel connections a load may open, and rows per round trip.
 CONNECTIONS, BATCH_ROWS = 8, 10_000
@@ -14,7 +14,7 @@ def column_types(table: str) -> str:
     """Column types for a copy that Spark has to create."""
     names = {"date": "DATE", "string": "STRING", "double": "DOUBLE", "integer": "INT",
              "long": "INT", "timestamp": "TIMESTAMP"}
-    widths = SERVING_WIDTHS[table]
+    widths = TABLES[table].widths
     return ", ".join(
         f"{f.name} VARCHAR({widths[f.name]})" if f.name in widths else f"{f.name} {names[f.dataType.typeName()]}"
         for f in GOLD[table]

@@ -1,15 +1,15 @@
 """Keyed upsert into a partitioned table."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegralType, StructType
 
 from tillflow.operators.merge import merged
 from tillflow.schemas import RECENCY, TIE_BREAK
+from tillflow.sinks import directory
 from tillflow.sinks.tables import overwrite, overwrite_partitions
-from tillflow.sources.lake import stored
+from tillflow.sources.lake import in_partitions, stored
 from tillflow.sources.staging import cleared, remove, staged
 
 _STATE = StructType().add("state", "string")
@@ -23,6 +23,7 @@ def upsert(
     table_format: str = "parquet",
     recency: str = RECENCY,
     tie_break: Sequence[str] = TIE_BREAK,
+    log: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Insert new keys, replace stored rows that are not more recent; ``incoming`` has unique keys.
 
@@ -31,19 +32,24 @@ def upsert(
     then swapped in.  An interrupted swap is finished by the next call (or by
     :func:`recover`), because it only repeats the same overwrite.  One writer at
     a time; a reader during the swap may see a row in its old and new partition.
+
+    log: gets the incoming rows and the stored versions of their keys, before
+    anything is swapped in; not called for the first rows of a table.
     """
     spark = incoming.sparkSession
     if table_format == "delta":
-        _merge_into_delta(incoming, path, key, partition_by, recency)
+        with cleared(spark):
+            _merge_into_delta(incoming, path, key, partition_by, recency, tie_break, log)
         return
     _require_integral(incoming, partition_by)
     recover(spark, path, incoming.schema, partition_by, key)
     current = stored(spark, path, incoming.schema)
     if current is None:
+        directory.forget(spark, path)
         overwrite(incoming, path, partition_by, [key])
         return
     with cleared(spark):
-        _prepare(staged(incoming, "upsert"), current, path, key, partition_by, recency, tie_break)
+        _prepare(staged(incoming, "upsert"), current, path, key, partition_by, recency, tie_break, log)
     _set_state(spark, path, "publishing")
     _publish(spark, path, incoming.schema, partition_by, key)
 
@@ -56,18 +62,25 @@ def _prepare(
     partition_by: Sequence[str],
     recency: str,
     tie_break: Sequence[str],
+    log: Callable[[DataFrame], None] | None,
 ) -> None:
     """Write the new content of all touched partitions beside the table."""
-    # Partitions that receive rows, and those the keys live in now: a corrected
-    # date moves a row.  Only the key and partition columns are read for this.
-    residence = current.join(incoming.select(key), key, "left_semi").select(*partition_by)
-    touched = incoming.select(*partition_by).union(residence).distinct()
+    spark = incoming.sparkSession
+    # Partitions that receive rows, and those the keys live in now: a corrected date moves a row.
+    keys, buckets = directory.opened(current, path, key, partition_by)
+    living = directory.residence(keys, buckets, incoming, key).select(*partition_by)
+    touched = incoming.select(*partition_by).union(living).distinct()
     touched.write.mode("overwrite").parquet(_pending(path, "touched"))
-    touched = incoming.sparkSession.read.parquet(_pending(path, "touched"))
+    touched = spark.read.parquet(_pending(path, "touched"))
 
-    affected = current.filter(_in_partitions(touched.collect(), partition_by))
+    affected = current.filter(in_partitions(touched.collect(), partition_by))
+    if log:
+        log(affected.join(incoming.select(key), key, "left_semi").unionByName(incoming))
     rows = merged(affected, incoming, key, recency, tie_break)
     overwrite(rows, _pending(path, "rows"), partition_by, [key])
+    placed = stored(spark, _pending(path, "rows"), incoming.schema).select(key, *partition_by)
+    lines = directory.renewed(keys, buckets, incoming, placed, key)
+    overwrite(lines, _pending(path, "keys"), [directory.BUCKET])
 
 
 def recover(
@@ -86,24 +99,16 @@ def _publish(
 ) -> None:
     rows = stored(spark, _pending(path, "rows"), schema)
     touched = spark.read.parquet(_pending(path, "touched"))
+    lines = StructType([schema[c] for c in (key, *partition_by)]).add(directory.BUCKET, "integer")
     overwrite_partitions(rows, path, partition_by, [key])
     # A partition that lost all its rows gets no files from the write above.
     emptied = touched.exceptAll(rows.select(*partition_by).distinct())
     for row in emptied.collect():
         remove(spark, "/".join([path, *(f"{c}={row[c]}" for c in partition_by)]))
+    directory.publish(spark, path, stored(spark, _pending(path, "keys"), lines))
     _set_state(spark, path, "published")
 
 
-def _in_partitions(partitions: list, partition_by: Sequence[str]) -> Column:
-    """A predicate on partition columns only, which Spark turns into folder pruning.
-
-    The list is as long as the calendar months touched, not as the data, and it is
-    one flat membership test, however many there are.
-    """
-    wanted = ["/".join(str(p[c]) for c in partition_by) for p in partitions]
-    return F.concat_ws("/", *partition_by).isin(wanted)
-
-
 def _pending(path: str, part: str) -> str:
     return f"{path}__pending/{part}"
 
@@ -119,16 +124,42 @@ def _require_integral(df: DataFrame, partition_by: Sequence[str]) -> None:
 
 
 def _merge_into_delta(
-    incoming: DataFrame, path: str, key: str, partition_by: Sequence[str], recency: str
+    incoming: DataFrame,
+    path: str,
+    key: str,
+    partition_by: Sequence[str],
+    recency: str,
+    tie_break: Sequence[str],
+    log: Callable[[DataFrame], None] | None,
 ) -> None:
     spark = incoming.sparkSession
-    if stored(spark, path, incoming.schema, "delta") is None:
+    current = stored(spark, path, incoming.schema, "delta")
+    if current is None:
         overwrite(incoming, path, partition_by, [key], "delta")
         return
+    incoming = staged(incoming, "upsert")
+    old = current.join(incoming.select(key), key, "left_semi")
+    if log:
+        log(old.unionByName(incoming))
+    touched = incoming.select(*partition_by).union(old.select(*partition_by)).distinct().collect()
     incoming.createOrReplaceTempView("tillflow_incoming")
-    spark.sql(
-        f"MERGE INTO delta.`{path}` AS kept USING tillflow_incoming AS fresh "
-        f"ON kept.{key} = fresh.{key} "
-        f"WHEN MATCHED AND fresh.{recency} >= kept.{recency} THEN UPDATE SET * "
+    spark.sql(merge_statement(path, "tillflow_incoming", key, partition_by, [recency, *tie_break], touched))
+
+
+def merge_statement(
+    path: str, source: str, key: str, partition_by: Sequence[str], order: Sequence[str], touched: list
+) -> str:
+    """One MERGE over the touched partitions; the later version by all of ``order`` wins, nulls being least."""
+
+    def version(table: str) -> str:
+        return f"struct({', '.join(f'{table}.`{c}`' for c in order)})"
+
+    place = f"concat_ws('/', {', '.join(f'kept.`{c}`' for c in partition_by)})"
+    places = ", ".join(f"'{'/'.join(str(p[c]) for c in partition_by)}'" for p in touched)
+    within = f" AND {place} IN ({places})" if touched else ""
+    return (
+        f"MERGE INTO delta.`{path}` AS kept USING {source} AS fresh "
+        f"ON kept.`{key}` = fresh.`{key}`{within} "
+        f"WHEN MATCHED AND {version('fresh')} >= {version('kept')} THEN UPDATE SET * "
         "WHEN NOT MATCHED THEN INSERT *"
     )

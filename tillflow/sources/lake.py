@@ -1,14 +1,16 @@
 """Where the layers live, and how to read them."""
 
 import datetime
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillflow.schemas import BRONZE, GOLD, REASONS_FIELD, SILVER
+from tillflow.gold_tables import GOLD
+from tillflow.schemas import BRONZE, REASONS_FIELD, SILVER
 
 Date = datetime.date | str
 
@@ -31,7 +33,7 @@ class Lake:
 
     @property
     def bronze_stream(self) -> str:
-        return f"{self.base}/bronze/sales_stream"
+        return f"{self.base}/bronze/sales_feed"
 
     @property
     def silver(self) -> str:
@@ -46,13 +48,41 @@ class Lake:
         return f"{self.base}/quarantine/sales_stream"
 
     @property
-    def refused_files(self) -> str:
-        return f"{self.base}/refused/files"
+    def ledger(self) -> str:
+        return f"{self.base}/loads/files"
+
+    @property
+    def begun_loads(self) -> str:
+        return f"{self.base}/loads/begun"
 
     @property
     def progress(self) -> str:
         return f"{self.base}/progress/silver"
 
+    @property
+    def changes(self) -> str:
+        return f"{self.base}/silver/changes"
+
+    @property
+    def positions(self) -> str:
+        return f"{self.base}/progress/followers"
+
+    @property
+    def customers(self) -> str:
+        return f"{self.base}/distincts/customers"
+
+    @property
+    def customer_bitmaps(self) -> str:
+        return f"{self.base}/distincts/bitmaps"
+
+    @property
+    def customer_sketches(self) -> str:
+        return f"{self.base}/distincts/sketches"
+
+    @property
+    def gold_readers(self) -> str:
+        return f"{self.base}/gold/readers"
+
     @property
     def gold_versions(self) -> str:
         return f"{self.base}/gold/versions"
@@ -89,23 +119,47 @@ def _required(table: DataFrame | None, what: str) -> DataFrame:
     return table
 
 
+def in_partitions(partitions: list, partition_by: Sequence[str]) -> Column:
+    """A predicate on partition columns only, which Spark turns into folder pruning.
+
+    The list is as long as the calendar months touched, not as the data, and it is
+    one flat membership test, however many there are.
+    """
+    wanted = ["/".join(str(p[c]) for c in partition_by) for p in partitions]
+    return F.concat_ws("/", *partition_by).isin(wanted)
+
+
 def read_bronze(
-    spark: SparkSession, lake: Lake, since: Date | None = None, feed: bool = True
+    spark: SparkSession, lake: Lake, since: Date | None = None, feed: bool = True, until: Date | None = None
 ) -> DataFrame:
-    """All loads, or those of a run date and later (a partition filter); without ``feed``, batch loads only."""
+    """All loads, or those of run dates from ``since`` to ``until`` (partition filters); without ``feed``, batch loads only."""
     found = [
         stored(spark, lake.bronze, BRONZE, lake.table_format),
         stored(spark, lake.bronze_stream, BRONZE) if feed else None,
     ]
-    found = [table for table in found if table is not None]
+    found = [table.select(*BRONZE.names) for table in found if table is not None]
     bronze = _required(reduce(DataFrame.unionByName, found) if found else None, "Bronze table")
     if since is not None:
         bronze = bronze.filter(F.col("pipeline_run_date") >= F.lit(since).cast("date"))
+    if until is not None:
+        bronze = bronze.filter(F.col("pipeline_run_date") <= F.lit(until).cast("date"))
     return bronze
 
 
-def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    return _required(stored(spark, lake.silver, SILVER, lake.table_format), "Silver table")
+def read_silver(spark: SparkSession, lake: Lake, start: Date | None = None, end: Date | None = None) -> DataFrame:
+    """All transactions, or those of the days from ``start`` to ``end``, both included.
+
+    A date range says which months it can be in; Spark doesn't know that, so it is said here,
+    and the folders of other months are not read.
+    """
+    silver = _required(stored(spark, lake.silver, SILVER, lake.table_format), "Silver table")
+    month = F.col("year") * 12 + F.col("month")
+    for day, below in ((start, False), (end, True)):
+        if day is not None:
+            day = F.lit(day).cast("date")
+            edge = F.year(day) * 12 + F.month(day)
+            silver = silver.filter((month <= edge) & (F.col("date") <= day) if below else (month >= edge) & (F.col("date") >= day))
+    return silver
 
 
 def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -116,14 +170,30 @@ def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, found, spark.createDataFrame([], schema))
 
 
-_REFUSED = StructType().add("file", "string").add("reason", "string").add("refused_at", "timestamp")
+LOADED, REFUSED = "loaded", "refused"
+LEDGER = (
+    StructType()
+    .add("path", "string")
+    .add("length", "long")
+    .add("modified", "long")
+    .add("verdict", "string")
+    .add("reason", "string")
+    .add("loaded_at", "timestamp")
+    .add("load", "string")
+)
 _PROGRESS = StructType().add("run_date", "date").add("finished_at", "timestamp")
 
 
+def read_ledger(spark: SparkSession, lake: Lake) -> DataFrame:
+    """A line for each file that was loaded or refused, by batch loads and the feed."""
+    found = stored(spark, lake.ledger, LEDGER)
+    return spark.createDataFrame([], LEDGER) if found is None else found
+
+
 def read_refused_files(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Files that batch loads left out, with the reason and the time."""
-    found = stored(spark, lake.refused_files, _REFUSED)
-    return spark.createDataFrame([], _REFUSED) if found is None else found
+    """Files that loads left out, with the reason and the time."""
+    refused = read_ledger(spark, lake).where(F.col("verdict") == REFUSED)
+    return refused.select(F.col("path").alias("file"), "reason", F.col("loaded_at").alias("refused_at"))
 
 
 def processed_until(spark: SparkSession, lake: Lake) -> datetime.date | None:
@@ -132,19 +202,31 @@ def processed_until(spark: SparkSession, lake: Lake) -> datetime.date | None:
     return found and found.agg(F.max("run_date")).first()[0]
 
 
-def latest_gold_version(spark: SparkSession, lake: Lake) -> str | None:
-    """The version published last; one short line per publication is read."""
-    versions = stored(spark, lake.gold_versions, _VERSIONS)
-    latest = versions and versions.orderBy(F.desc("published_at"), F.desc("version")).first()
-    return latest["version"] if latest else None
+_VERSIONS = (
+    StructType()
+    .add("version", "string")
+    .add("published_at", "timestamp")
+    .add("changes_until", "long")
+    .add("week_year", "string")
+)
+
 
+def gold_versions(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One short line for each publication, the last one first."""
+    found = stored(spark, lake.gold_versions, _VERSIONS)
+    found = spark.createDataFrame([], _VERSIONS) if found is None else found
+    return found.orderBy(F.desc("published_at"), F.desc("version"))
 
-_VERSIONS = StructType().add("version", "string").add("published_at", "timestamp")
+
+def latest_gold_version(spark: SparkSession, lake: Lake) -> str | None:
+    """The version published last."""
+    latest = gold_versions(spark, lake).first()
+    return latest["version"] if latest else None
 
 
-def read_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """The four Gold tables of one and the same publication."""
-    version = latest_gold_version(spark, lake)
+def read_gold(spark: SparkSession, lake: Lake, version: str | None = None) -> dict[str, DataFrame]:
+    """The four Gold tables of one and the same publication, the last one unless another is named."""
+    version = version or latest_gold_version(spark, lake)
     if version is None:
         raise FileNotFoundError("no Gold tables have been published yet")
     return {

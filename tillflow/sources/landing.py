@@ -20,11 +20,26 @@ def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.schema(RAW_WITH_CORRUPT).options(**CSV_OPTIONS).csv(paths)
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, source: str) -> DataFrame:
+    """``path``, ``length`` and ``modified`` of every file with content at a folder, file or pattern; nothing is read."""
+    return as_listing(spark.read.format("binaryFile").load(source))
+
+
+def as_listing(files: DataFrame) -> DataFrame:
+    """The listing columns of the binary file source; times in milliseconds."""
+    return files.select("path", "length", F.unix_millis("modificationTime").alias("modified"))
+
+
+def normal_path(path: str) -> str:
+    """One spelling for local paths, which come with one slash after the scheme or with three."""
+    return path.replace(":///", ":/")
+
+
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """First line of every CSV file and whether it is the expected header.
 
     Names are plain paths, not URLs.  Files are scanned as text where they lie.  Only the task holding the start of
-    a file sees its first line, so ``first`` has a single candidate per file.
+    a file sees its first line, so ``first`` has a single candidate per file.  A file without a line has no row.
     """
     expected = ",".join(RAW.names)
     lines = (
