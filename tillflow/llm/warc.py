@@ -1,7 +1,7 @@
 """Deterministic sharded WARC archives: written, committed by manifest, and read back.
 
-Shards are ranges of page_id with about equal bytes.  They come from a histogram of all ids, not
-from samples, so equal tables give equal files.  A task sorts its shard, writes one gzip member
+Shards are ranges of page_id with about equal bytes.  They come from exact sums, refined where ids
+are crowded, not from samples, so equal tables give equal files.  A task sorts its shard, writes one gzip member
 for each record and begins a new file when the last has reached its size.  It writes under names that no
 other attempt has and returns them in a manifest; what the manifest lists is then renamed, and
 only what the final manifest lists is read.  Lost attempts leave nothing that a reader sees.
@@ -20,7 +20,7 @@ from functools import partial
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm.files import located, qualified
@@ -28,7 +28,8 @@ from tillflow.sources.staging import staged
 
 FILE_BYTES = 64 << 20  # compressed, after which a file is closed
 SHARD_BYTES = 32 << 20  # payload in one task, on average
-BUCKETS = 16_384  # of the histogram of page ids
+MOST_SHARDS = 16_384  # of very large tables; their shards are larger, and have several files
+ROW = "row__"  # number of a scanned row
 DATE = "1970-01-01T00:00:00Z"  # of records, where the pages have none
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tillflow:warc")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -160,28 +161,111 @@ def _publish(batch_rows: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.R
         yield batch
 
 
-def _with_shards(pages: DataFrame, shard_bytes: int) -> DataFrame:
-    """Add ``shard``: ranges of page_id with about ``shard_bytes`` of payload.
+class _Ranges:
+    """Ranges of keys (see ``_key``) with about equal bytes, as a tree of their digits.
 
-    The driver gets the bytes of at most ``BUCKETS`` equal ranges of ids.  Pages without an id
-    are in the first shard.
+    A node tells its rows apart by the two digits where they first differ.  The tree grows by
+    the exact sums of the rows below each node, so it is the same for equal tables.
     """
-    limits = pages.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
-    if limits["low"] is None:
-        return pages.withColumn("shard", F.lit(0))
-    low = limits["low"]
-    width = max(1, -(-(limits["high"] - low + 1) // BUCKETS))
-    bucket = F.floor((F.col("page_id") - F.lit(low).cast("decimal(20,0)")) / width).cast("int")
-    sizes = pages.groupBy(bucket.alias("bucket")).agg(F.sum(F.octet_length("html") + 512).alias("bytes")).collect()
-    sized = {r["bucket"]: r["bytes"] or 0 for r in sizes if r["bucket"] is not None}
-    shards, shard, held = [], 0, 0
-    for number in range(max(sized) + 1):
-        if held >= shard_bytes:
-            shard, held = shard + 1, 0
-        shards.append(shard)
-        held += sized.get(number, 0)
-    by_bucket = F.split(F.lit(",".join(map(str, shards))), ",").cast("array<int>")  # one literal
-    return pages.withColumn("shard", F.coalesce(F.get(by_bucket, bucket), F.lit(0)))
+
+    def __init__(self) -> None:
+        self.at: list[int] = []  # where each node's digits begin in the key
+        self.children: list[dict[int, int]] = []  # digits to -1 - node, or to a leaf
+        self.leaves: list[int] = []  # bytes of each
+        self.shards: list[int] = []  # shard of each
+
+    def node(self, low: str, high: str) -> int:
+        """A new node for keys from low to high."""
+        first = next(i for i in range(0, len(low), 2) if low[i : i + 2] != high[i : i + 2])
+        self.at.append(first)
+        self.children.append({})
+        return len(self.at) - 1
+
+    def leaf(self, size: int) -> int:
+        self.leaves.append(size)
+        return len(self.leaves) - 1
+
+    def digits(self, key: Column, node: Column) -> Column:
+        begin = F.get(_literal(self.at), node)
+        return F.conv(F.substring(key, begin + 1, F.lit(2)), 16, 10).cast("int")
+
+    def found(self, key: Column) -> Column:
+        """The leaf of a key, or -1 - node where the tree has to grow."""
+        flat = [n for c in self.children for n in (c.get(d, 0) for d in range(256))]
+        table, out, seen = _literal(flat), F.lit(-1), 0
+        while seen < self._height():
+            node = -1 - out
+            inner = (out < 0) & F.get(_literal([bool(c) for c in self.children]), node)
+            out = F.when(inner, F.get(table, node * 256 + self.digits(key, node))).otherwise(out)
+            seen += 1
+        return out
+
+    def _height(self, node: int = 0) -> int:
+        if not self.children[node]:
+            return 0
+        return 1 + max((self._height(-1 - n) for n in self.children[node].values() if n < 0), default=0)
+
+    def deal(self, shard_bytes: int, node: int = 0, state: list[int] | None = None) -> int:
+        """Give the leaves, in the order of their keys, to shards of about ``shard_bytes``; the number of shards."""
+        state = [0, 0] if state is None else state
+        if not node:
+            self.shards = [0] * len(self.leaves)
+        for digits in sorted(self.children[node]):
+            child = self.children[node][digits]
+            if child < 0:
+                self.deal(shard_bytes, -1 - child, state)
+                continue
+            if state[1] >= shard_bytes:
+                state[:] = [state[0] + 1, 0]
+            self.shards[child] = state[0]
+            state[1] += self.leaves[child]
+        return state[0] + 1
+
+
+def _literal(values: list) -> Column:
+    """An array of numbers or truths as one literal, however long."""
+    kind = "boolean" if values and isinstance(values[0], bool) else "int"
+    return F.split(F.lit(",".join(str(v).lower() for v in values)), ",").cast(f"array<{kind}>")
+
+
+def _key() -> Column:
+    """Hexadecimal digits in the order of ``page_id``, rows without one last, then ``sha1``, then ``ROW``.
+
+    The row's number splits rows that are repeated as they are.
+    """
+    number = F.lpad(F.hex(F.col("page_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    number = F.coalesce(F.concat(F.lit("00"), number), F.lit("01" + "0" * 16))
+    salt = F.lpad(F.hex(F.xxhash64(ROW)), 16, "0")
+    return F.concat(number, F.upper(F.substring("sha1", 1, 16)), F.substring(salt, 1, 8))
+
+
+def _with_shards(rows: DataFrame, narrow: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """Add ``shard``: ranges of page_id (of payloads, where pages share an id) of less than twice ``shard_bytes``.
+
+    narrow: page_id, sha1, ``ROW`` and size of all rows.  The driver gets exact sums of at most
+    256 ranges below each one that is too large; there are at most ``MOST_SHARDS``.
+    """
+    keyed = narrow.select(_key().alias("key"), (F.coalesce("size", F.lit(0)) + 512).alias("bytes"))
+    whole = keyed.agg(F.sum("bytes").alias("bytes"), F.min("key").alias("low"), F.max("key").alias("high")).first()
+    shard_bytes = max(shard_bytes, -(-(whole["bytes"] or 0) // MOST_SHARDS))
+    if whole["low"] == whole["high"] or whole["bytes"] <= shard_bytes:
+        return rows.withColumn("shard", F.lit(0)), 1
+    ranges = _Ranges()
+    ranges.node(whole["low"], whole["high"])
+    grown = 0
+    while grown < len(ranges.at):
+        node = -1 - F.col("found")
+        open_rows = keyed.withColumn("found", ranges.found(F.col("key"))).where("found < 0").withColumn("node", node)
+        sums = open_rows.groupBy("node", ranges.digits(F.col("key"), F.col("node")).alias("digits")).agg(
+            F.sum("bytes").alias("bytes"), F.min("key").alias("low"), F.max("key").alias("high")
+        )
+        grown = len(ranges.at)
+        for r in sums.orderBy("node", "digits").collect():
+            splits = r["bytes"] > shard_bytes and r["low"] != r["high"]
+            child = -1 - ranges.node(r["low"], r["high"]) if splits else ranges.leaf(r["bytes"])
+            ranges.children[r["node"]][r["digits"]] = child
+    shards = ranges.deal(shard_bytes)
+    return rows.withColumn("shard", F.get(_literal(ranges.shards), ranges.found(_key()))), shards
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0, file_bytes: int = FILE_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -195,16 +279,17 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, file_bytes: int =
     spark = pages.sparkSession
     folder = qualified(spark, folder)
     rows = pages.select(F.col("page_id").cast("bigint"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    hashed = rows.withColumn("sha1", F.sha1("html"))
+    rows = rows.withColumns({ROW: F.monotonically_increasing_id(), "sha1": F.sha1("html")})
+    narrow = staged(rows.select("page_id", "url", "sha1", ROW, F.octet_length("html").alias("size")), "pages")
     # Sums by payload are taken of narrow rows and on the map side, so a payload that
     # fills a third of the table is one row here; the join splits its side of the pages.
-    same = hashed.where(F.octet_length("html") >= least_bytes).groupBy("sha1").agg(
+    same = narrow.where(F.col("size") >= least_bytes).groupBy("sha1").agg(
         F.count(F.lit(1)).alias("copies"), F.max(F.struct("page_id", "url")).alias("kept")
     )
     same = same.where("copies > 1").select("sha1", "kept")
     # Marks of revisits are found without the payloads and travel with the pages: sorted just
     # before them, so the payloads are shuffled once.
-    placed = _with_shards(rows, shard_bytes).withColumn("sha1", F.sha1("html"))
+    placed, shards = _with_shards(rows, narrow, shard_bytes)
     again = F.col("kept.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept.page_id"))
     none = F.lit(None).cast("string")
     marks = placed.select("shard", "page_id", "sha1").join(same, "sha1").where(again).distinct().select(
@@ -215,8 +300,8 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, file_bytes: int =
         "shard", "page_id", "sha1", F.lit(True).alias("is_page"), "url", F.col("html").cast("binary").alias("payload"),
         none.cast("bigint").alias("refers_to"), none.alias("refers_url"),
     ).unionByName(marks)
-    shards = rows.agg((F.sum(F.octet_length("html") + 512) / shard_bytes).alias("n")).first()["n"] or 0
-    dealt = records.repartition(int(shards) + 1, "shard").sortWithinPartitions("shard", "page_id", "sha1", "is_page", "url")
+    # By the number itself: hashes of a few numbers would put many shards into one task.
+    dealt = records.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "page_id", "sha1", "is_page", "url")
     manifest = staged(dealt.mapInArrow(partial(_write, folder=folder, file_bytes=file_bytes), _MANIFEST), "manifest")
     manifest.mapInArrow(partial(_publish, folder=folder), _MANIFEST).write.parquet(f"{folder}/_manifest")
     system, path = located(folder)
