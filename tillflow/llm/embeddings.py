@@ -35,6 +35,8 @@ LEVELS = 178  # codes from -4 standard deviations to 4; what lies beyond has the
 RECALL = 0.9995
 BLOCK = 4096  # vectors
 TILE = 64  # vectors of a block that are compared with another block at a time
+PAIRS = 8  # of blocks that a task compares
+LEAST_LENGTH, MOST_LENGTH = 1e-100, 1e100
 SEED = 20_240_501
 
 
@@ -80,9 +82,12 @@ def _usable(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for i, vector in enumerate(vectors):
         if vector.is_valid and len(vector.values) and not vector.values.null_count:
             numbers = vector.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
-            norm = np.linalg.norm(numbers)
-            if np.isfinite(norm) and norm > 0:
-                values[i] = numbers.tobytes()
+            largest = np.abs(numbers).max()
+            if not np.isfinite(largest) or largest == 0:
+                continue
+            if not LEAST_LENGTH < largest < MOST_LENGTH:  # whose squares leave the range of doubles
+                numbers = numbers / largest
+            values[i] = numbers.tobytes()
     yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(values, pa.binary())], ["vec_id", "vector"])
 
 
@@ -239,7 +244,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         (F.col("block") <= F.col("block2")) & (F.col("low2") <= F.col("high") + reach) & (F.col("high2") >= F.col("low") - reach)
     )
     n_pairs = max(1, blocks.count() * (blocks.count() + 1) // 2)
-    dealt = pairs.select("dimension", "names", "names2").repartition(min(n_pairs, 4 * spark.sparkContext.defaultParallelism), F.xxhash64("names", "names2"))
+    dealt = pairs.select("dimension", "names", "names2").repartition(-(-n_pairs // PAIRS), F.xxhash64("names", "names2"))
     found = staged(arrow_map(dealt, partial(_compared, folder=folder, cosine=cosine), "a bigint, b bigint, links bigint"), "links")
     linked = found.where("links IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b IS NOT NULL").select("a", "b"))
