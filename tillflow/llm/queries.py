@@ -268,7 +268,7 @@ SELECT doc_id, leaf, subroot, d AS root, sha256(siblings) AS proof_sha256, now A
 FROM t_climbed, t_roots""",
     "op1_decontamination": f"""
 WITH d AS (SELECT doc_id, {_words_sql('text')} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql('text')} AS w FROM benchmark),
 windows AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS k
   FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(s) WHERE len(w) > 0),
@@ -282,7 +282,7 @@ hit AS (
   FROM (SELECT doc_id, unnest(range(s, s + size)) AS word FROM matches) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-  FROM (SELECT DISTINCT doc_id, item_id FROM matches) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item_id FROM matches WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
@@ -323,7 +323,7 @@ outcomes AS (
   LEFT JOIN marks ON doc_id = TRY_CAST(regexp_extract(path, '^/[^/]*/([0-9]{{1,18}})', 1) AS BIGINT)),
 hosts AS (
   SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE bad) AS DOUBLE) AS bad,
-         list_reverse(string_split(host, '.')) AS parts,
+         list_reverse(string_split(regexp_replace(host, ':[0-9]*$', ''), '.')) AS parts,
          array_to_string(list_reverse(parts[1:2]), '.') IN ({_SUFFIXES}) AS two,
          array_to_string(list_reverse(parts[1:(CASE WHEN two THEN 2 ELSE 1 END)]), '.') AS suffix,
          array_to_string(list_reverse(parts[1:(CASE WHEN two THEN 3 ELSE 2 END)]), '.') AS domain

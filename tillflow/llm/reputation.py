@@ -30,6 +30,7 @@ LEAST_SPREAD, MOST_SPREAD = 1e-3, 0.999  # of the share of variance between the
 LEAST_STRENGTH = 2.0  # pseudo-counts of a prior, at least: one bad page is no proof, however pure hosts are
 DEVIATIONS = 1.6448536269514722  # of the posterior that its bound lies below its mean (95 in 100)
 THRESHOLD = 0.5
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -52,16 +53,23 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
-def suffix(of_host: Column) -> Column:
-    """The last label, or the last two where these are a known public suffix."""
-    two = F.substring_index(of_host, ".", -2)
-    return F.when(two.isin(TWO_LABELS), two).otherwise(F.substring_index(of_host, ".", -1))
+def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """Add ``suffix`` and ``domain`` (the registered one: the suffix and a label before it) to rows with distinct ``host``.
 
-
-def domain(of_host: Column) -> Column:
-    """The registered domain: the public suffix and one label before it."""
-    two = F.substring_index(of_host, ".", -2)
-    return F.when(two.isin(TWO_LABELS), F.substring_index(of_host, ".", -3)).otherwise(two)
+    suffixes: a column ``suffix`` of public suffixes, such as a public list; by default those of
+    ``TWO_LABELS``, with which hosts under other suffixes of two labels pass for one domain.
+    The longest one that a host ends in is its suffix, else its last label.  A port doesn't count.
+    """
+    if suffixes is None:
+        suffixes = hosts.sparkSession.createDataFrame([(s,) for s in TWO_LABELS], "suffix string")
+    labels = F.split(F.regexp_replace("host", ":[0-9]*$", ""), r"\.")
+    size = F.size(labels)
+    tails = F.transform(F.sequence(F.lit(1), size), lambda i: F.array_join(F.slice(labels, i, size), "."))
+    met = hosts.select("host", F.explode(tails).alias("tail")).join(suffixes.select(F.col("suffix").alias("tail")).distinct(), "tail")
+    longest = met.groupBy("host").agg(F.max_by("tail", F.length("tail")).alias("suffix"))
+    found = hosts.join(longest, "host", "left").withColumn("suffix", F.coalesce("suffix", F.element_at(labels, -1)))
+    count = F.size(F.split("suffix", r"\.")) + 1
+    return found.withColumn("domain", F.array_join(F.slice(labels, F.greatest(size - count + 1, F.lit(1)), count), "."))
 
 
 def _spread(groups: DataFrame, mean: Column) -> float:
@@ -97,17 +105,16 @@ def _above(groups: DataFrame, key: str) -> DataFrame:
     return groups.select(key, *(F.col(c).alias(f"{c}_above") for c in ("n", "bad", "prior", "strength")))
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def reputations(outcomes: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Posterior ``mean``, ``weight`` and lower ``bound`` of the share of bad pages, for each host.
 
     outcomes: ``host`` and ``bad`` (true, false, or null where unknown), one row for each page.
     Counts are summed by host before anything else, so a host with a third of all pages is one
-    row in each later step.
+    row in each later step.  suffixes: see :func:`with_domains`.
     """
     known = F.col("bad").isNotNull().cast("long")
     hosts = outcomes.groupBy("host").agg(F.sum(known).alias("n"), F.sum(F.coalesce(F.col("bad").cast("long"), F.lit(0))).alias("bad"))
-    hosts = hosts.withColumns({"domain": domain(F.col("host")), "suffix": suffix(F.col("host"))})
-    hosts = staged(hosts, "hosts")  # each level reads it several times
+    hosts = staged(with_domains(staged(hosts, "hosts"), suffixes), "hosts")  # each level reads it several times
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
@@ -131,10 +138,12 @@ def _fitting(hosts: DataFrame, rules: list[Rule]) -> DataFrame:
     tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     met = hosts.select("host", F.explode(tails).alias("covers")).join(listed, "covers")
     order = F.struct(F.length("rule").alias("size"), "rule", "prefix", "says")
-    return met.groupBy("host").agg(F.sort_array(F.collect_list(order), asc=False).alias("rules"))
+    return met.groupBy("host").agg(F.sort_array(F.collect_list(order), asc=False).alias("rules__"))
 
 
-def judged(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], threshold: float = THRESHOLD) -> DataFrame:
+def judged(
+    pages: DataFrame, outcomes: DataFrame, rules: list[Rule], threshold: float = THRESHOLD, suffixes: DataFrame | None = None
+) -> DataFrame:
     """All columns of ``pages`` (``url`` among them), ``host``, ``path``, ``rule``, ``verdict``, ``mean``, ``bound``.
 
     A rule fits its host and the hosts below it, on paths that begin with the rule's; the
@@ -142,13 +151,16 @@ def judged(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], threshold:
     have an empty host, which has a reputation like any other.  Columns of ``pages`` with the
     names of new ones are replaced.
     """
-    new = ("host", "path", "rule", "verdict", "mean", "bound", "rules")
+    new = ("host", "path", "rule", "verdict", "mean", "bound")
     rows = pages.drop(*(c for c in new if c != "url")).withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
-    known = staged(reputations(outcomes).select("host", "mean", "bound"), "reputations")
+    known = staged(reputations(outcomes, suffixes).select("host", "mean", "bound"), "reputations")
     by_host = rows.select("host").distinct().join(known, "host", "left")
     by_host = by_host.join(_fitting(by_host.select("host"), rules), "host", "left")
-    placed = rows.join(by_host, "host", "left")
-    first = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["prefix"])), 0)
+    # A host may have a third of the pages: it is dealt to several tasks by their urls.
+    by_host = by_host.withColumn("salt__", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt__", F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int"))
+    placed = rows.join(by_host, ["host", "salt__"], "left").drop("salt__")
+    first = F.get(F.filter("rules__", lambda r: F.col("path").startswith(r["prefix"])), 0)
     blocked = F.coalesce(F.col("bound") > threshold, F.lit(False))
     verdict = F.when(first.isNotNull(), first["says"]).when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return placed.withColumns({"rule": first["rule"], "verdict": verdict}).drop("rules")
+    return placed.withColumns({"rule": first["rule"], "verdict": verdict}).drop("rules__")
