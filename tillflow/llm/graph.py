@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillflow.sources.staging import staged
 
 FLUSH_EDGES = 1 << 18
+SALTS = 16
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,9 +51,14 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _star(pairs: DataFrame) -> DataFrame:
-    """Link every neighbour ``v`` of ``u`` to the smallest of u and its neighbours."""
+    """Link every neighbour ``v`` of ``u`` to the smallest of u and its neighbours.
+
+    The neighbours of a hot centre are dealt to ``SALTS`` tasks; its minimum goes to each.
+    """
     least = pairs.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return pairs.join(least, "u")
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(least, ["u", "salt"]).drop("salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -62,8 +68,7 @@ def components(edges: DataFrame) -> DataFrame:
     Returns ``node`` and ``root``, one row for each node.  Rounds of a large and a small star
     step until nothing changes: at most about log2 of the longest path squared, mostly two or
     three, as each part of the edges is first contracted where it lies.  The edges of a round
-    are written to the shared folder; hot centres are pre-aggregated, and their join is one
-    that adaptive execution splits.
+    are written to the shared folder; hot centres are pre-aggregated, and salted in their join.
     """
     now = staged(edges.select("a", "b").where("a <> b").mapInArrow(_forest, "a bigint, b bigint"), "edges")
     before = None
