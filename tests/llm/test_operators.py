@@ -369,6 +369,22 @@ def test_bad_hosts_are_blocked_and_shrunk(session):
     assert {r.page_id: r.verdict for r in reputation.judged(pages, outcomes, []).collect()} == {1: "block", 2: "allow", 3: "allow"}
 
 
+def test_domains_from_a_suffix_list_and_without_ports(session):
+    hosts = ["a.com.sg", "b.a.com.sg", "com.sg", "x.co.uk:8080", "b.co.id:80", "example.org", "localhost", "", "a.b.c.kawasaki.jp"]
+    frame = session.createDataFrame([(h,) for h in hosts], "host string")
+
+    def found(suffixes):
+        return {r.host: (r.suffix, r.domain) for r in reputation.with_domains(frame, suffixes).collect()}
+
+    listed = session.createDataFrame([(s,) for s in ("com.sg", "sg", "co.uk", "co.id", "c.kawasaki.jp", "kawasaki.jp")], "suffix string")
+    assert found(listed) == {
+        "a.com.sg": ("com.sg", "a.com.sg"), "b.a.com.sg": ("com.sg", "a.com.sg"), "com.sg": ("com.sg", "com.sg"),
+        "x.co.uk:8080": ("co.uk", "x.co.uk"), "b.co.id:80": ("co.id", "b.co.id"), "example.org": ("org", "example.org"),
+        "localhost": ("localhost", "localhost"), "": ("", ""), "a.b.c.kawasaki.jp": ("c.kawasaki.jp", "b.c.kawasaki.jp"),
+    }
+    assert found(None)["x.co.uk:8080"] == ("co.uk", "x.co.uk") and found(None)["a.com.sg"] == ("sg", "com.sg")
+
+
 # --- WARC ----------------------------------------------------------------------
 
 
@@ -422,9 +438,40 @@ def test_damage_is_noticed_and_small_payloads_stand_alone(session, tmp_path):
     assert warc.read(session, archived(session, pages.limit(0), tmp_path / "none")[0]).count() == 0
 
 
+def shard_bytes(manifest, rows):
+    """Estimated bytes of each shard: payloads and heads."""
+    return [r["records"] for r in manifest.groupBy("shard").agg(F.sum("records").alias("records")).collect()]
+
+
+def test_crowded_equal_and_missing_ids_are_split(session, tmp_path):
+    payload = "x" * 488  # with its head 1000 bytes
+    crowded = [(i, f"http://a/{i}", f"{i:08}{payload[8:]}") for i in range(2000)]
+    for name, rows in {
+        "outlier": [*crowded, (1 << 60, "http://far/", payload), (-(1 << 62), "http://near/", payload)],
+        "no ids": [(None, u, h) for _, u, h in crowded],
+        "one id": [(7, u, h) for _, u, h in crowded],
+        "one row": [(7, "http://a/", payload)] * 2000,
+    }.items():
+        frame = session.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+        folder = str(tmp_path / name)
+        manifest = warc.write(frame, folder, shard_bytes=100_000)
+        sizes = shard_bytes(manifest, rows)
+        assert sum(sizes) == len(rows) and max(sizes) <= 220 and len(sizes) >= 10, name
+        back = Counter((r.page_id, r.payload_digest) for r in warc.read(session, folder).collect())
+        expected = Counter((i, base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()) for i, _, h in rows)
+        assert back == expected
+
+
 # --- embeddings ----------------------------------------------------------------
 
 
+def test_vectors_of_extreme_length_link(session):
+    vectors = {1: [1e200, 1e200], 2: [1e200, 1.01e200], 3: [1e-200, 1e-200], 4: [1.0, 1.0], 5: [5e-324, 5e-324], 6: [-1e308, 1e308], 7: [1.7e308, -1.7e308]}
+    frame = session.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(frame).collect()}
+    assert found == {i: (4, 1) for i in range(1, 6)} | {6: (0, 6), 7: (0, 7)}
+
+
 def test_embedding_links_equal_brute_force(session, monkeypatch):
     monkeypatch.setattr(embeddings, "BLOCK", 64)
     rng = np.random.default_rng(8)

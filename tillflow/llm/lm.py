@@ -5,9 +5,6 @@ add them up and write sorted arrays to the shared folder.  First the vocabulary
 its rank among the word hashes), then pairs of ids under an invertible 64-bit mixing, from
 which left and right words come back for the statistics of contexts and continuations.
 Scoring: workers map the arrays into memory and look up the sorted pairs of a batch.
-
-The order is two: three words in four would begin a new trigram in such corpora, so a trigram
-level costs more disk than the texts themselves and finds next to nothing in held-out ones.
 """
 
 from __future__ import annotations
