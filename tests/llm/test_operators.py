@@ -159,51 +159,78 @@ def test_proximity_matches_stay_in_one_document(session):
 # --- language model ------------------------------------------------------------
 
 
-def test_language_model_equals_brute_force(session):
-    texts = [prose(i, 30 + i, 40) for i in range(40)] + [None, "", "once ONCE", "w1 " * 400]
-    held = ["w1 w2 unseen w3", None, "other words", "w5"]
-    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(A_TO_Z)) + ["\n"]
-    one, two = Counter(), Counter()
-    for t in map(split, texts):
-        one.update(t)
-        two.update(zip(["<s>", *t], t, strict=False))
-    n, v, kept = sum(one.values()), len(one), Counter(w for _, w in two)
+def kneser_ney(texts):
+    """The probability of a word after the words before it, from plain counts."""
     of = lambda c: lm.discounts(*(sum(x == k for x in c.values()) for k in (1, 2, 3, 4)))
-    d1, d2 = of(kept), of(two)
-    total, left = Counter(), Counter()
-    for (a, _), c in two.items():
-        total[a] += c
-        left[a] += d2[min(c, 3)]
-    spare = sum(d1[min(c, 3)] for c in kept.values()) / len(two)
-    alone = lambda w: max(kept[w] - d1[min(kept[w], 3)], 0) / len(two) + spare / (v + 1)
-
-    def after(a, w):
-        if not total[a]:
-            return alone(w)
-        return max(two[a, w] - d2[min(two[a, w], 3)], 0) / total[a] + left[a] / total[a] * alone(w)
-
-    assert sum(after("w1", w) for w in [*one, "unseen"]) == pytest.approx(1)
+    vocabulary, pairs, triples = {"\n"} if texts else set(), Counter(), Counter()
+    for t in texts:
+        vocabulary.update(t)
+        pairs.update(zip(["<s>", *t], t, strict=False))
+        triples.update(zip(["<s>", *t], t, t[1:], strict=False))
+    lefts = Counter(w for _, w in pairs)
+    firsts = Counter((b, c) for _, b, c in triples) + Counter({p: n for p, n in pairs.items() if p[0] == "<s>"})
+    d1, d2, d3 = of(lefts), of(firsts), of(triples)
+
+    def level(counts, taken, context):
+        total, spare = Counter(), Counter()
+        for gram, n in counts.items():
+            total[context(gram)] += n
+            spare[context(gram)] += taken[min(n, 3)]
+        return lambda gram, lower: (
+            max(counts[gram] - taken[min(counts[gram], 3)], 0) / total[context(gram)] + spare[context(gram)] / total[context(gram)] * lower
+            if total[context(gram)]
+            else lower
+        )
+
+    one, two, three = level(lefts, d1, lambda g: 0), level(firsts, d2, lambda g: g[0]), level(triples, d3, lambda g: g[:2])
+
+    def after(before, word):
+        out = two((before[-1], word), one(word, 1 / (len(vocabulary) + 1)))
+        return three((*before[-2:], word), out) if len(before) > 1 else out
+
+    return after
+
+
+def split_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(A_TO_Z)) + ["\n"]
+
+
+@pytest.mark.parametrize("shard_bytes", [lm.SHARD_BYTES, 700])
+def test_language_model_equals_brute_force(session, monkeypatch, shard_bytes):
+    monkeypatch.setattr(lm, "SHARD_BYTES", shard_bytes)
+    texts = [prose(i, 30 + i, 40) for i in range(40)] + [None, "", "once ONCE", "w1 " * 400, "w2 " * 3]
+    texts += [" ".join(f"w1 w2 x{i}" for i in range(90))] + [prose(3, 33, 40)] * 5
+    held = ["w1 w2 unseen w3", None, "other words", "w5", "x1 w1 w2 x2 w1 w2 x999", prose(7, 20, 40) + " " + prose(8, 38, 40)]
+    taught = [split_words(t) for t in texts]
+    after, one = kneser_ney(taught), Counter(w for t in taught for w in t)
+    n, v = sum(one.values()), len(one)
+    for before in (["<s>"], ["<s>", "w1"], ["w1", "w2"], ["w7", "w9"], ["unseen", "w1"], ["w1", "unseen"]):
+        assert sum(after(before, w) for w in [*one, "unseen"]) == pytest.approx(1)
     model = lm.learn(documents(session, texts).repartition(3))
+    assert len(model.after) == (1 if shard_bytes > 1000 else len(model.pairs.names)) and model.vocabulary.tokens == n
     found = lm.scored(documents(session, texts + held), model, ["doc_id"]).collect()
-    assert model.vocabulary.tokens == n and len(found) == len(texts + held)
+    assert len(found) == len(texts + held)
     for r in found:
-        t = split((texts + held)[r.doc_id])
+        t = split_words((texts + held)[r.doc_id])
         assert (r.n_tokens, r.n_known) == (len(t), sum(w in one for w in t))
         assert r.base_score == pytest.approx(sum(math.log10((one[w] + 1) / (n + v + 1)) for w in t))
-        assert r.score == pytest.approx(sum(math.log10(after(a, w)) for a, w in zip(["<s>", *t], t, strict=False)))
+        assert r.score == pytest.approx(sum(math.log10(after(["<s>", *t[:i]], w)) for i, w in enumerate(t)))
         assert r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens))
     empty = lm.learn(documents(session, texts).limit(0))
-    assert [r.n_known for r in lm.scored(documents(session, ["a b"]), empty, ["doc_id"]).collect()] == [0]
-
-
-def test_language_model_in_many_shards(session, monkeypatch):
-    texts = documents(session, [prose(i, 60, 300) for i in range(30)])
-    whole = {r.doc_id: r.score for r in lm.scored(texts, lm.learn(texts), ["doc_id"]).collect()}
-    monkeypatch.setattr(lm, "SHARD_BYTES", 1000)
-    model = lm.learn(texts)
-    assert len(model.shards) > 4
-    for r in lm.scored(texts, model, ["doc_id"]).collect():
-        assert r.score == pytest.approx(whole[r.doc_id])
+    assert [r.n_known for r in lm.scored(documents(session, ["a b", None]), empty, ["doc_id"]).collect()] == [0, 0]
+    ends = lm.learn(documents(session, [None, "", " "]))
+    assert [r.score < 0 for r in lm.scored(documents(session, ["a b", None]), ends, ["doc_id"]).collect()] == [True, True]
+
+
+def test_very_many_words_after_one_bigram(session, monkeypatch):
+    monkeypatch.setattr(lm, "HELD", 5000)
+    texts = [" ".join(f"a b c{i}" for i in range(k, 70_000, 7)) for k in range(7)] + ["a b c1 a b c2 d"] * 300
+    after = kneser_ney([split_words(t) for t in texts])
+    model = lm.learn(documents(session, texts))
+    held = ["a b c5 a b c1 a b zzz", "c1 a b c69999 d"]
+    for r in lm.scored(documents(session, held), model, ["doc_id"]).collect():
+        t = split_words(held[r.doc_id])
+        assert r.score == pytest.approx(sum(math.log10(after(["<s>", *t[:i]], w)) for i, w in enumerate(t)))
 
 
 # --- packing and token counts --------------------------------------------------

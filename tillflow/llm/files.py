@@ -53,4 +53,23 @@ def mapped(folder: str, name: str, kind: type) -> np.ndarray:
         size = file.seek(0, 2)
         if not size:
             return np.zeros(0, kind)
-        return np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ), kind)
+        # The mapping stays when the file is closed, and takes no file descriptor of its own.
+        return np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), kind)
+
+
+def written_together(folder: str, label: str, arrays: list[np.ndarray]) -> str:
+    """Write several arrays as one file, each at a multiple of eight bytes; returns its name."""
+    data = [np.ascontiguousarray(a).tobytes() for a in arrays]
+    head = np.array([len(data), *map(len, data)], np.int64).tobytes()
+    return written(folder, label, np.frombuffer(b"".join([head, *(d + bytes(-len(d) % 8) for d in data)]), np.uint8))
+
+
+def mapped_together(folder: str, name: str, kinds: tuple[type, ...]) -> tuple[np.ndarray, ...]:
+    """The arrays of such a file, mapped into memory at once."""
+    data = mapped(folder, name, np.uint8)
+    sizes = data[8 : 8 + 8 * len(kinds)].view(np.int64)
+    out, at = [], 8 + 8 * len(kinds)
+    for size, kind in zip(sizes.tolist(), kinds, strict=True):
+        out.append(data[at : at + size].view(kind))
+        at += size + -size % 8
+    return tuple(out)

@@ -207,9 +207,10 @@ def _words_sql(text: str) -> str:
 _FIVE_BITS = ", ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((n >> {k}) & 31), 1)" for k in (15, 10, 5, 0))
 
 
-# CRC-32 of a decimal number, bit by bit.
-_CRC32 = """xor(4294967295, list_reduce(
-    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+    list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT)),
     lambda c, b: list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(c, b)),
     4294967295))"""
 
@@ -248,11 +249,82 @@ def _climb_sql(source: str, name: str, levels: int) -> str:
     return ", ".join(ctes)
 
 
+_PLACE = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+
 SQL: dict[str, str] = {
+    "op11_conversation_repair": f"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32_sql(_PLACE)} % 20 AS damage FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+         CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN damage = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM marked WHERE damage <> 0),
+sorted AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+  FROM damaged),
+judged AS (
+  SELECT *, body = '' AS blank, body <> '' AND again AS duplicate,
+         body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated, body = '' OR again AS doomed,
+         CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
+         coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM sorted),
+inserts(f, t, c, a) AS (VALUES (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'),
+  (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')),
+steps(initial, f, t) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+initials(initial) AS (VALUES ('s'), ('u'), ('a'), ('o')),
+edits AS (
+  SELECT initial, f, t, 0 AS c, 'K' AS e FROM steps
+  UNION ALL SELECT initials.initial, f, t, 3, 'R' FROM initials, steps WHERE steps.initial <> 's'
+  UNION ALL SELECT initial, f, f, 4, 'D' FROM initials, range(4) r(f)),
+best AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS s, struct_pack(c := CAST(0 AS BIGINT), a := '') AS b FROM damaged
+  UNION ALL
+  SELECT conv_id, i, s, min(b) FROM (
+    SELECT best.conv_id, judged.i, CAST(edits.t AS BIGINT) AS s,
+           struct_pack(c := CAST(best.b.c + inserts.c + edits.c + CASE WHEN truncated AND e <> 'D' THEN 3 ELSE 0 END AS BIGINT),
+                       a := best.b.a || inserts.a || e) AS b
+    FROM best JOIN judged ON judged.conv_id IS NOT DISTINCT FROM best.conv_id AND judged.i = best.i + 1
+    JOIN inserts ON inserts.f = best.s
+    JOIN edits ON edits.f = inserts.t AND edits.initial = judged.initial AND (NOT doomed OR e = 'D'))
+  GROUP BY ALL),
+last AS (SELECT conv_id, max(i) AS i FROM judged GROUP BY conv_id),
+chosen AS (
+  SELECT best.conv_id, min(struct_pack(c := b.c + inserts.c, a := b.a || inserts.a)) AS b
+  FROM best JOIN last ON last.conv_id IS NOT DISTINCT FROM best.conv_id AND last.i = best.i
+  JOIN inserts ON inserts.f = best.s WHERE inserts.t IN (0, 3) GROUP BY ALL),
+letters AS (SELECT conv_id, unnest(range(1, CAST(length(b.a) AS BIGINT) + 1)) AS p, b.a AS audit FROM chosen),
+edited AS (
+  SELECT conv_id, p, audit[p] AS e, count(*) FILTER (WHERE audit[p] <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i,
+         count(*) FILTER (WHERE audit[p] <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS q
+  FROM letters),
+kept AS (
+  SELECT edited.conv_id, p, e, q, CASE WHEN e = 'K' THEN role END AS own, CASE WHEN e = 'I' THEN '' ELSE text END AS text,
+         max(e = 'K' AND q = 1 AND left(role, 1) = 's') OVER (PARTITION BY edited.conv_id) AS system
+  FROM edited LEFT JOIN judged ON judged.conv_id IS NOT DISTINCT FROM edited.conv_id AND judged.i = edited.i
+  WHERE e <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(coalesce(own, CASE WHEN (q - CASE WHEN system THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END)
+                             || ':' || text, chr(10) ORDER BY p) AS body
+  FROM kept GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated,
+         count(*) FILTER (WHERE illegal) AS illegal
+  FROM judged GROUP BY conv_id),
+whole AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT whole.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
+       sha256(coalesce(body, '')) AS repaired_sha256
+FROM whole LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM whole.conv_id
+LEFT JOIN chosen ON chosen.conv_id IS NOT DISTINCT FROM whole.conv_id
+LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM whole.conv_id""",
     "op12_merkle_manifest": f"""
 WITH base AS (
   SELECT doc_id, coalesce('1' || source, '0') AS g, {_leaf_sql('text')} AS leaf,
-         CASE WHEN {_CRC32} % 5 = 0 THEN {_leaf_sql(f"translate(text, '{reputation.UPPER}', '{reputation.LOWER}')")} END AS claim
+         CASE WHEN {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {_leaf_sql(f"translate(text, '{reputation.UPPER}', '{reputation.LOWER}')")} END AS claim
   FROM documents),
 leaves AS (
   SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,

@@ -12,7 +12,8 @@ def packed(positions: np.ndarray, counts: np.ndarray) -> pa.Array:
     steps = np.diff(positions, prepend=0)
     steps[heads[counts > 0]] = positions[heads[counts > 0]]
     width = np.ones(len(steps), np.int64)
-    for bits in (7, 14, 21, 28, 35):
+    largest = int(steps.max()) if len(steps) else 0
+    for bits in range(7, largest.bit_length(), 7):
         width += steps >= 1 << bits
     ends = np.cumsum(width)
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
