@@ -23,7 +23,9 @@ def dense_rank_desc(stored: DataFrame, by: str, name: str = "revenue_rank") -> D
     values = rows.select("_units").distinct().withColumn("_range", _range("_units", LEVELS[0]))
     inside = Window.partitionBy("_range").orderBy(F.col("_units").desc_nulls_last())
     positions = values.withColumn("_position", F.row_number().over(inside))
-    sizes = values.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # The sizes come out of the same windows, without another aggregation.
+    counted = positions.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_range")))
+    sizes = counted.where("_position = 1").select("_range", "_n")
     rank = (F.col("_position") + F.col("_above")).cast("int")
     ranks = positions.join(_above(sizes, LEVELS[1:]), F.col("_range").eqNullSafe(F.col("_key")))
     ranks = ranks.select(F.col("_units").alias("_ranked"), rank.alias(name))
