@@ -9,12 +9,13 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import to_double
+from tillflow.gold_tables import STAMP, TABLES
 from tillflow.operators.contracts import all_violations
 from tillflow.operators.dedupe import latest_per_key
 from tillflow.operators.enrich import enriched, silver_rows, typed
@@ -26,7 +27,7 @@ from tillflow.plans import distincts, gold, medallion, serving
 from tillflow.schemas import KEY, RAW, REASONS, RECENCY, SILVER_PARTITIONS
 from tillflow.settings import configure
 from tillflow.sinks.upsert import upsert
-from tillflow.sources.lake import Lake, read_bronze, read_gold, read_quarantine, read_refused_files, read_silver
+from tillflow.sources.lake import Lake, read_bronze, read_gold, read_ledger, read_quarantine, read_refused_files, read_silver
 from tillflow.sources.landing import with_load_metadata
 from tillflow.sources.staging import shared_folder, staged
 from tillflow.sources.star import FACT_TIE_BREAK, disturbed_facts, sale_facts, with_attributes
@@ -145,6 +146,52 @@ def bronze_ingested_twice(spark: SparkSession, folder: str) -> DataFrame:
     return read_bronze(spark, lake).select(*RAW.names, F.lit(rows).alias("load_rows"))
 
 
+def _now(spark: SparkSession) -> int:
+    return spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+
+
+def bronze_load_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Load time, run date and file of all rows, against the clock and the ledger."""
+    lake, landing = _delivery(spark, folder)
+    begun = _now(spark)
+    medallion.ingest(spark, lake, landing)
+    ended = _now(spark)
+    files = serving.count_of(read_ledger(spark, lake)).scalar()
+    time = F.col("ingestion_timestamp")
+    return read_bronze(spark, lake).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        (F.count_distinct("source_file") == files).alias("every_file_named"),
+        F.bool_and(F.col("pipeline_run_date") == time.cast("date")).alias("run_date_of_load"),
+        F.bool_and(F.unix_micros(time).between(begun, ended)).alias("loaded_meanwhile"),
+    )
+
+
+def gold_stamps_and_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Processing stamps of stored tables against the clock, and rows that are out of order in their file."""
+    lake, landing = _delivery(spark, folder)
+    begun = _now(spark)
+    medallion.run(spark, lake, landing)
+    ended = _now(spark)
+    silver = read_silver(spark, lake).withColumnRenamed("silver_processed_at", STAMP)
+    tables = {"silver": (silver, (*SILVER_PARTITIONS, KEY))}
+    tables |= {name: (df, TABLES[name].order) for name, df in read_gold(spark, lake).items()}
+    reports = []
+    for name, (df, order) in tables.items():
+        key = F.struct(*order)
+        before = F.lag(key).over(Window.partitionBy("file").orderBy("row"))
+        placed = df.withColumns({"file": F.col("_metadata.file_path"), "row": F.col("_metadata.row_index")})
+        placed = placed.withColumn("unsorted", F.coalesce(before > key, F.lit(False)))
+        reports.append(
+            placed.agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.bool_and(F.unix_micros(STAMP).between(begun, ended)).alias("stamped_meanwhile"),
+                F.count_if("unsorted").alias("unsorted_rows"),
+            )
+        )
+    return reduce(DataFrame.unionByName, reports)
+
+
 def _stored_columns(silver: DataFrame) -> DataFrame:
     return _doubles(silver.drop(RECENCY, "silver_processed_at"))
 
@@ -420,12 +467,14 @@ _QUERIES = [
     silver_upsert_late,
     bronze_csv_roundtrip,
     bronze_ingested_twice,
+    bronze_load_metadata,
     silver_stored,
     silver_between_dates,
     feed_roundtrip,
     feed_with_bad_file,
     silver_quarantine_stored,
     *(_published(name) for name in ("daily_revenue", "product_performance", "store_performance", "category_trends")),
+    gold_stamps_and_order,
     *(_incremental(name) for name in ("daily_revenue", "product_performance", "store_performance", "category_trends")),
     unique_customers_by_month,
     unique_customers_by_region,
@@ -738,6 +787,14 @@ def oracle_sql() -> dict[str, str]:
                    product_name, category, quantity, unit_price, discount_pct, customer_id,
                    (SELECT count(*) FROM lineitem) AS load_rows
             FROM sales""",
+        "bronze_load_metadata": """
+            SELECT count(*) AS row_count, true AS every_file_named, true AS run_date_of_load, true AS loaded_meanwhile
+            FROM lineitem""",
+        "gold_stamps_and_order": f"""{_STORED}, {_daily_sql()}, {_product_sql()}, {_store_sql()}, {_trends_sql()}
+            SELECT *, true AS stamped_meanwhile, CAST(0 AS BIGINT) AS unsorted_rows FROM (
+              SELECT 'silver' AS table_name, count(*) AS row_count FROM silver
+              UNION ALL SELECT 'daily_revenue', count(*) FROM daily UNION ALL SELECT 'product_performance', count(*) FROM product
+              UNION ALL SELECT 'store_performance', count(*) FROM store UNION ALL SELECT 'category_trends', count(*) FROM trends)""",
         "silver_stored": stored,
         "silver_between_dates": f"{stored} WHERE date BETWEEN DATE '1995-11-20' AND DATE '1996-02-10'",
         "feed_roundtrip": stored,

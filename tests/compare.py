@@ -34,9 +34,11 @@ def rows(columns, records):
     return sorted(tuple(normal(r[i]) for i in order) for r in records)
 
 
-def difference(spark, con, folder: str, name: str) -> str | None:
-    """None when Spark and SQL agree, else what differs."""
+def difference(spark, con, folder: str, name: str, look=None) -> str | None:
+    """None when Spark and SQL agree, else what differs.  look: is shown the DataFrame first."""
     df = registered.queries()[name](spark, folder)
+    if look:
+        look(df)
     ours = rows(df.columns, df.collect())
     result = con.execute(registered.oracle_sql()[name])
     columns = [c[0] for c in result.description]

@@ -39,13 +39,6 @@ def stored_bronze(spark, tmp_path):
     return stored(spark, path, BRONZE)
 
 
-@pytest.mark.parametrize("name", [query.__name__ for query in registered._QUERIES])
-def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, name):
-    text = plan(registered.queries()[name](spark, FOLDER))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas"):
-        assert operator not in text
-
-
 def test_rules_reach_the_scan_and_copies_are_dropped_before_the_shuffle(stored_bronze):
     text = plan(silver_rows(stored_bronze))
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
