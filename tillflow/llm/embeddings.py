@@ -1,20 +1,23 @@
-"""Near-duplicate embeddings by counting collisions of one-dimensional projections.
+"""Near-duplicate embeddings by counting collisions in many sorted one-dimensional projections.
 
 Unit vectors are projected on random directions.  Two vectors collide in a projection if one
 lies in the window centred at the other; from the cosine at which pairs must be found, the
 collisions of such a pair are binomial, and the least count is set so that it is reached with
 the wanted recall.  Pairs that reach it are verified in double precision.
 
-The vectors are sorted by one more projection and kept in blocks; a block meets those whose
-range comes within the same recall of its own.  Windows of single projections can't tell
+The vectors are range-sorted by one more projection and kept in blocks, each with all its
+projections sorted.  A block's vectors are queries to the blocks whose range comes within the
+same recall of their own: a window is a run of a sorted projection, found by binary search,
+and the runs of a query are counted together.  Windows of single projections can't tell
 vectors apart well enough for less work than a fixed share of all pairs of distinct vectors
-(near pairs collide at most sqrt((1 - 0) / (1 - cosine)) times as often as unrelated ones), so
-the count runs on bytes of whole blocks at a time; copies are put together before.
+(near pairs collide at most sqrt((1 - 0) / (1 - cosine)) times as often as unrelated ones);
+copies are put together before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache, partial
 from math import comb, erf, sqrt
 
@@ -30,11 +33,9 @@ from tillflow.llm.work import arrow_map, new_folder
 from tillflow.sources.staging import staged
 
 PROJECTIONS = 40
-STEP, REACH = 0.045, 10  # width of a code, and codes that a window goes to either side
-LEVELS = 178  # codes from -4 standard deviations to 4; what lies beyond has the last one
+STEP, REACH = 1 / 4096, 1843  # width of a code, and codes that a window goes to either side (0.45 in all)
 RECALL = 0.9995
-BLOCK = 4096  # vectors
-TILE = 64  # vectors of a block that are compared with another block at a time
+BLOCK = 4096  # vectors, at most 65,536
 PAIRS = 8  # of blocks that a task compares
 LEAST_LENGTH, MOST_LENGTH = 1e-100, 1e100
 SEED = 20_240_501
@@ -100,7 +101,7 @@ def _projected(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         vectors = np.frombuffer(b"".join(raws[i] for i in rows), np.float64).reshape(-1, dimension)
         vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         found = vectors @ directions(dimension)
-        codes = np.clip(np.floor((found[:, 1:] + 4) / STEP), 0, LEVELS - 1).astype(np.uint8)
+        codes = np.clip(np.floor(found[:, 1:] / STEP), -32768, 32767).astype(np.int16)
         first[rows] = found[:, 0]
         for i, c, v in zip(rows.tolist(), codes, vectors, strict=True):
             at[i] = (c.tobytes(), v.tobytes())
@@ -116,17 +117,19 @@ _BLOCK = "block bigint, dimension int, low double, high double, names array<stri
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
-    """Write each run of ``BLOCK`` sorted vectors as arrays."""
+    """Write each run of ``BLOCK`` vectors as arrays, with all its projections sorted."""
     number = 0
 
     def block(rows: pa.Table, dimension: int) -> pa.RecordBatch:
         nonlocal number
         units = np.frombuffer(b"".join(rows["unit"].to_pylist()), np.float64).reshape(-1, dimension)
-        codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(-1, PROJECTIONS)
+        codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.int16).reshape(-1, PROJECTIONS).T
+        order = np.argsort(codes, axis=1, kind="stable")
         sort = rows["sort"].to_numpy()
         names = [
             written(folder, "nodes", rows["node"].to_numpy()), written(folder, "copies", rows["copies"].to_numpy()),
-            written(folder, "codes", np.ascontiguousarray(codes.T)), written(folder, "units", units),
+            written(folder, "codes", codes), written(folder, "sorted", np.take_along_axis(codes, order, axis=1)),
+            written(folder, "order", order.astype(np.uint16)), written(folder, "units", units),
         ]
         number += 1
         values = [(TaskContext.get().partitionId() << 32) + number, dimension, sort[0], sort[-1], names]
@@ -152,54 +155,60 @@ def _blocks(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Recor
         rows = rows.slice(BLOCK)
 
 
+@dataclass(frozen=True)
+class _Block:
+    nodes: np.ndarray
+    copies: np.ndarray
+    codes: np.ndarray  # by projection
+    sorted: np.ndarray  # the same in order
+    order: np.ndarray  # which vector each of these is of
+    units: np.ndarray
+
+
 @lru_cache(maxsize=4)
-def _block_arrays(folder: str, names: tuple[str, ...], dimension: int) -> tuple[np.ndarray, ...]:
-    nodes, copies = (mapped(folder, n, np.int64) for n in names[:2])
-    codes = mapped(folder, names[2], np.uint8).reshape(PROJECTIONS, -1)
-    return nodes, copies, codes, mapped(folder, names[3], np.float64).reshape(-1, dimension)
+def _block(folder: str, names: tuple[str, ...], dimension: int) -> _Block:
+    kinds = (np.int64, np.int64, np.int16, np.int16, np.uint16, np.float64)
+    arrays = [mapped(folder, n, k) for n, k in zip(names, kinds, strict=True)]
+    by_projection = [a.reshape(PROJECTIONS, -1) for a in arrays[2:5]]
+    return _Block(*arrays[:2], *by_projection, arrays[5].reshape(-1, dimension))
+
+
+def _collided(one: _Block, two: _Block, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each vector of ``one`` as a query, and the vectors of ``two`` that lie in ``least`` of its windows."""
+    codes = one.codes.astype(np.int32)
+    low = np.stack([np.searchsorted(s, c - REACH, "left") for s, c in zip(two.sorted, codes, strict=True)], axis=1).tolist()
+    high = np.stack([np.searchsorted(s, c + REACH, "right") for s, c in zip(two.sorted, codes, strict=True)], axis=1).tolist()
+    order, size = list(two.order.astype(np.int64)), two.order.shape[1]
+    for query, (begins, ends) in enumerate(zip(low, high, strict=True)):
+        runs = [o[a:b] for o, a, b in zip(order, begins, ends, strict=True)]
+        yield query, np.flatnonzero(np.bincount(np.concatenate(runs), minlength=size) >= least)
 
 
 def _compared(batch: pa.RecordBatch, folder: str, cosine: float) -> Iterator[pa.RecordBatch]:
     """Links of two blocks: how many vectors each is linked to (b null), and edges that span them."""
     least = least_count(cosine)
     for pair in batch.to_pylist():
-        one = _block_arrays(folder, tuple(pair["names"]), pair["dimension"])
-        two = _block_arrays(folder, tuple(pair["names2"]), pair["dimension"])
+        one = _block(folder, tuple(pair["names"]), pair["dimension"])
+        two = _block(folder, tuple(pair["names2"]), pair["dimension"])
         same = pair["names"] == pair["names2"]
-        n, m = len(one[0]), len(two[0])
+        n, m = len(one.nodes), len(two.nodes)
         links = [np.zeros(n, np.int64), np.zeros(m, np.int64)]
         root = np.arange(n if same else n + m)
         other = 0 if same else n
-        near = np.empty((TILE, m), np.uint8)
-        hit = np.empty((TILE, m), bool)
-        for begin in range(0, n, TILE):
-            size = min(TILE, n - begin)
-            count = np.zeros((size, m), np.uint8)
-            for mine, theirs in zip(one[2][:, begin : begin + size], two[2], strict=True):
-                np.subtract(mine[:, None] + np.uint8(REACH), theirs, out=near[:size])  # wraps below zero
-                np.less_equal(near[:size], 2 * REACH, out=hit[:size])
-                np.add(count, hit[:size], out=count)
-            candidate = count >= least
+        for query, candidates in _collided(one, two, least):
+            # Products are added up in the same order whichever of the two asks.
+            linked = candidates[(two.units[candidates] * one.units[query]).sum(axis=1) >= cosine]
             if same:
-                candidate[np.arange(size), begin + np.arange(size)] = False
-            found = int(candidate.sum())
-            if not found:
+                linked = linked[linked != query]
+            if not len(linked):
                 continue
-            if 20 * found > candidate.size:
-                linked = candidate & (one[3][begin : begin + size] @ two[3].T >= cosine)
-            else:
-                i, j = np.nonzero(candidate)
-                good = np.einsum("ij,ij->i", one[3][begin + i], two[3][j]) >= cosine
-                linked = np.zeros_like(candidate)
-                linked[i[good], j[good]] = True
-            links[0][begin : begin + size] += linked @ two[1]
+            links[0][query] += two.copies[linked].sum()
             if not same:
-                links[1] += one[1][begin : begin + size] @ linked
-            for i in np.flatnonzero(linked.any(axis=1)).tolist():
-                met = np.unique(root[np.append(other + np.flatnonzero(linked[i]), begin + i)])
-                if len(met) > 1:
-                    root[np.isin(root, met)] = met[0]
-        nodes = one[0] if same else np.concatenate([one[0], two[0]])
+                links[1][linked] += one.copies[query]
+            met = np.unique(root[np.append(other + linked, query)])
+            if len(met) > 1:
+                root[np.isin(root, met)] = met[0]
+        nodes = one.nodes if same else np.concatenate([one.nodes, two.nodes])
         joined = np.flatnonzero(root != np.arange(len(root)))
         every = links[0] if same else np.concatenate(links)
         some = np.flatnonzero(every)
