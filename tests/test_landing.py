@@ -6,7 +6,7 @@ from sales import line, random_lines, write_csv
 from tillflow.plans import medallion
 from tillflow.schemas import BRONZE, RAW
 from tillflow.sinks import loads
-from tillflow.sources.lake import read_bronze, read_ledger, read_refused_files
+from tillflow.sources.lake import Lake, read_bronze, read_ledger, read_refused_files
 from tillflow.sources.landing import file_headers, read_csv
 
 
@@ -111,6 +111,19 @@ def test_interrupted_load_is_taken_back_or_finished(spark, lake, landing, monkey
         assert read_bronze(spark, lake).count() == 20
 
 
+def test_interrupted_delta_load_is_deleted(spark, tmp_path, monkeypatch):
+    """The package is absent here, so only the statement can be checked."""
+    lake = Lake(str(tmp_path), "delta")
+    loads._begin(spark, lake, lake.bronze, "load-1")
+    (tmp_path / "bronze" / "sales" / "_delta_log").mkdir(parents=True)
+    statements = []
+    monkeypatch.setattr(type(spark), "sql", lambda self, text: statements.append(text))
+    loads.recover(spark, lake, lake.bronze)
+    monkeypatch.undo()
+    assert statements == [f"DELETE FROM delta.`{lake.bronze}` WHERE load = 'load-1'"]
+    assert "DeleteFromTable" in spark._jsparkSession.sessionState().sqlParser().parsePlan(statements[0]).toString()
+
+
 def test_other_failures_are_not_swallowed(spark, lake, landing):
     with pytest.raises(Exception, match="(?i)path"):
         medallion.ingest(spark, lake, str(landing / "nothing-here"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillflow.schemas import BRONZE_PARTITIONS
-from tillflow.sources.lake import LEDGER, LOADED, REFUSED, Lake, read_ledger, stored
+from tillflow.sources.lake import LEDGER, LOADED, REFUSED, Lake, exists, read_ledger, stored
 from tillflow.sources.landing import file_headers, normal_path, read_csv, with_load_metadata
 from tillflow.sources.staging import remove
 
@@ -39,7 +39,7 @@ def take_in(spark: SparkSession, lake: Lake, files: list[Row], target: str, load
     """
     loaded_at, again = _begin(spark, lake, target, load)
     if again:
-        _clear(spark, target, loaded_at, load)
+        _clear(spark, lake, target, loaded_at, load)
     paths = [f["path"] for f in files]
     bad: set[str] = set()
     try:
@@ -49,7 +49,7 @@ def take_in(spark: SparkSession, lake: Lake, files: list[Row], target: str, load
         bad = {normal_path(r["file"]) for r in headers.collect()}
         if not bad:
             raise
-        _clear(spark, target, loaded_at, load)
+        _clear(spark, lake, target, loaded_at, load)
         rows = _written(spark, lake, [p for p in paths if normal_path(p) not in bad], target, load, loaded_at)
     lines = [
         (f["path"], f["length"], f["modified"], *((REFUSED, "wrong header") if normal_path(f["path"]) in bad else (LOADED, None)))
@@ -71,7 +71,7 @@ def recover(spark: SparkSession, lake: Lake, target: str) -> None:
     # One line for each load that was interrupted since the last call.
     for note in begun.where(F.col("target") == target).join(done, LOAD, "left").collect():
         if not note["done"]:
-            _clear(spark, target, note["loaded_at"], note[LOAD])
+            _clear(spark, lake, target, note["loaded_at"], note[LOAD])
         remove(spark, f"{lake.begun_loads}/{LOAD}={note[LOAD]}")
 
 
@@ -98,7 +98,7 @@ def _written(spark: SparkSession, lake: Lake, paths: list[str], target: str, loa
     rows = with_load_metadata(read_csv(spark, [literal(p) for p in paths]), F.timestamp_micros(F.lit(loaded_at))).withColumn(LOAD, F.lit(load))
     counted = Observation("load")
     rows = rows.observe(counted, F.count(F.lit(1)).alias("row_count"))
-    if lake.table_format == "delta" and target == lake.bronze:  # Delta knows a repeated append by its name
+    if _is_delta(lake, target):  # Delta knows a repeated append by its name
         once = rows.write.format("delta").mode("append").option("txnAppId", load).option("txnVersion", 1)
         once.partitionBy(*BRONZE_PARTITIONS, LOAD).save(target)
     else:
@@ -110,6 +110,14 @@ def _replace(rows: DataFrame, path: str, partition_by: list[str]) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def _clear(spark: SparkSession, target: str, loaded_at: int, load: str) -> None:
+def _clear(spark: SparkSession, lake: Lake, target: str, loaded_at: int, load: str) -> None:
+    if _is_delta(lake, target):
+        if exists(spark, f"{target}/_delta_log"):
+            spark.sql(f"DELETE FROM delta.`{target}` WHERE {LOAD} = '{load}'")
+        return
     day = spark.range(1).select(F.timestamp_micros(F.lit(loaded_at)).cast("date").cast("string").alias("day")).first()["day"]
     remove(spark, f"{target}/{BRONZE_PARTITIONS[0]}={day}/{LOAD}={load}")
+
+
+def _is_delta(lake: Lake, target: str) -> bool:
+    return lake.table_format == "delta" and target == lake.bronze
