@@ -120,6 +120,17 @@ def _dealt(
         yield flush(*held)
 
 
+def _by_shard(dealt: DataFrame, number: str, shards: int, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``function`` over the rows of each shard, one shard a task; hashes of the numbers would put several into one."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from function(pa.Table.from_batches(held)).to_batches()
+
+    return dealt.repartitionById(shards, F.col(number)).mapInArrow(over, schema)
+
+
 def _by_range(keys: np.ndarray, counts: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
     """Number, packed keys (from the range's edge on) and packed counts of each range with keys."""
     starts = np.append(np.searchsorted(keys, edges), len(keys))
@@ -154,7 +165,7 @@ def _word_shard(rows: pa.Table, folder: str, edges: np.ndarray) -> pa.Table:
     number = rows["shard"][0].as_py()
     keys, counts = _collected(rows.to_pylist(), np.uint64)
     name = written_together(folder, "words", [keys + edges[number], counts])
-    return pa.table({"shard": [number], "n": [len(keys)], "tokens": [int(counts.sum())], "name": [name]})
+    return pa.table({"shard": pa.array([number], pa.int32()), "n": [len(keys)], "tokens": [int(counts.sum())], "name": [name]})
 
 
 @dataclass(frozen=True)
@@ -297,19 +308,19 @@ def _pair_shard(rows: pa.Table, vocabulary: Vocabulary, part: int) -> pa.Table:
 # --- Trigrams --------------------------------------------------------------------
 
 
-def _contexts(found: Tokens, pairs: Pairs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pair keys in order, which of them each token ends, and the bigram before each token (-1: none)."""
+def _contexts(found: Tokens, pairs: Pairs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pair keys in order, their numbers, which of them each token ends, and the bigram before each token (-1: none)."""
     keys, which = np.unique(found.left * pairs.width + found.right, return_inverse=True)
     numbers = pairs.find(keys)
     before = np.full(len(which), -1, np.int64)
     before[1:] = numbers[which[:-1]]
     before[~found.later] = -1
-    return keys, which, before
+    return keys, numbers, which, before
 
 
 def _count_triples(texts: pa.Array, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
     found = tokens(texts, pairs.vocabulary)
-    _, _, before = _contexts(found, pairs)
+    *_, before = _contexts(found, pairs)
     there = before >= 0
     return _counted(before[there] * pairs.width + found.right[there])
 
@@ -380,7 +391,7 @@ def _after_part(rows: pa.Table, pairs: Pairs) -> pa.Table:
         [*_small(firsts), sums[:, 0].copy(), sums[:, 1:].astype(np.uint32), single.astype(np.uint32)],
     )
     tally = [np.sum(firsts == k) for k in (1, 2, 3, 4)] + [np.sum(single == k) for k in (1, 2, 3, 4)] + [single.sum(), np.sum(single > 2)]
-    return pa.table({"part": [number], "name": [name], "tally": [[int(t) for t in tally]]})
+    return pa.table({"part": pa.array([number], pa.int32()), "name": [name], "tally": [[int(t) for t in tally]]})
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -430,10 +441,10 @@ class Model:
                 out[at] = stored[ids[at] - number * self.pairs.part]
         return out
 
-    def pair_probability(self, keys: np.ndarray) -> np.ndarray:
-        """Probability of the right word of each of the ordered pair keys after its left word."""
+    def pair_probability(self, keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Probability of the right word of each of the ordered pair keys (and their numbers) after its left word."""
         left, right = np.divmod(keys, self.pairs.width)
-        numbers, firsts = self.pairs.find(keys), np.zeros(len(keys), np.int64)
+        firsts = np.zeros(len(keys), np.int64)
         for number, part in self.pairs.ranges(keys):
             if number in self.after:
                 there = np.flatnonzero(numbers[part] >= 0) + part.start
@@ -459,8 +470,8 @@ class Model:
 
     def probabilities(self, found: Tokens) -> np.ndarray:
         """Probability of each token of a batch."""
-        keys, which, before = _contexts(found, self.pairs)
-        out = self.pair_probability(keys)[which]
+        keys, numbers, which, before = _contexts(found, self.pairs)
+        out = self.pair_probability(keys, numbers)[which]
         later = np.flatnonzero(before >= 0)
         triples, at, of = np.unique(before[later] * self.pairs.width + found.right[later], return_index=True, return_inverse=True)
         out[later] = self.triple_probability(triples, out[later[at]])[of]
@@ -510,8 +521,8 @@ def learn(texts: DataFrame) -> Model:
 
     hash_edges = np.array([(i << 64) // shards for i in range(shards)], np.uint64)
     dealt = texts.mapInArrow(partial(_dealt, count=_count_words, edges=hash_edges), _DEALT)
-    written_words = dealt.groupBy("shard").applyInArrow(
-        lambda rows: _word_shard(rows, folder, hash_edges), "shard bigint, n bigint, tokens bigint, name string"
+    written_words = _by_shard(
+        dealt, "shard", shards, partial(_word_shard, folder=folder, edges=hash_edges), "shard int, n bigint, tokens bigint, name string"
     )
     rows = staged(written_words, "vocabulary").orderBy("shard").collect()
     first = np.cumsum([0, *(r["n"] for r in rows)]).tolist()
@@ -525,7 +536,7 @@ def learn(texts: DataFrame) -> Model:
 
     pair_edges = np.arange(shards, dtype=np.int64) * part * width
     dealt = texts.mapInArrow(partial(_dealt, count=partial(_count_pairs, vocabulary=vocabulary), edges=pair_edges), _DEALT)
-    found = staged(dealt.groupBy("shard").applyInArrow(lambda rows: _pair_shard(rows, vocabulary, part), _FOUND), "pairs")
+    found = staged(_by_shard(dealt, "shard", shards, partial(_pair_shard, vocabulary=vocabulary, part=part), _FOUND), "pairs")
     made = {r["part"]: r for r in found.where("kind = 'shard'").select("part", "n", "names").collect()}
     names = tuple(made[i]["names"][0] if i in made else None for i in range(shards))
     numbers = np.cumsum([0, *(made[i]["n"] if i in made else 0 for i in range(shards))]).tolist()
@@ -535,13 +546,12 @@ def learn(texts: DataFrame) -> Model:
 
     triple_edges = np.array(numbers[:-1], np.int64) * width
     dealt = texts.mapInArrow(partial(_dealt, count=partial(_count_triples, pairs=pairs), edges=triple_edges), _DEALT)
-    triples = staged(dealt.groupBy("shard").applyInArrow(lambda rows: _triple_shard(rows, pairs), _FOUND), "triples")
+    triples = staged(_by_shard(dealt, "shard", shards, partial(_triple_shard, pairs=pairs), _FOUND), "triples")
     every = spark.range(shards).select(F.lit("none").alias("kind"), F.col("id").cast("int").alias("part"))
     tallies = [t.select("kind", "part", "keys", "counts") for t in (found.where("kind = 'right'"), triples.where("kind = 'pair'"))]
     tallies = every.unionByName(tallies[0], allowMissingColumns=True).unionByName(tallies[1], allowMissingColumns=True)
-    after = staged(
-        tallies.groupBy("part").applyInArrow(lambda rows: _after_part(rows, pairs), "part bigint, name string, tally array<bigint>"), "after"
-    )
+    after = _by_shard(tallies, "part", shards, partial(_after_part, pairs=pairs), "part int, name string, tally array<bigint>")
+    after = staged(after, "after")
 
     model = Model(pairs)
     of_triples, of_words = np.zeros(4, np.int64), np.zeros(10, np.int64)
