@@ -449,6 +449,16 @@ def test_archives_come_back(session, tmp_path):
     assert warc.read(session, folder).count() == len(rows), "what the manifest doesn't list isn't read"
 
 
+def test_repeated_rows_over_several_shards_are_revisits(session, tmp_path):
+    payload = "x" * 488
+    rows = [(7, "http://a/", payload)] * 2000 + [(9, "http://b/", payload), (8, "http://c/", "other")]
+    frame = session.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    manifest = warc.write(frame, str(tmp_path / "w"), shard_bytes=100_000)
+    assert manifest.select("shard").distinct().count() >= 10
+    found = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.read(session, str(tmp_path / "w")).collect())
+    assert found == {(7, "revisit", 9): 2000, (9, "response", None): 1, (8, "response", None): 1}
+
+
 def test_damage_is_noticed_and_small_payloads_stand_alone(session, tmp_path):
     rows = [(1, "u", "same"), (2, "u", "same"), (3, "u", "much longer"), (4, "u", "much longer")]
     pages = session.createDataFrame(rows, "page_id bigint, url string, html string")

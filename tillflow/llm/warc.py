@@ -15,7 +15,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from typing import BinaryIO
 
@@ -190,8 +190,11 @@ class _Ranges:
         return F.conv(F.substring(key, begin + 1, F.lit(2)), 16, 10).cast("int")
 
     def found(self, key: Column) -> Column:
-        """The leaf of a key, or -1 - node where the tree has to grow."""
-        flat = [n for c in self.children for n in (c.get(d, 0) for d in range(256))]
+        """The leaf of a key, or -1 - node where the tree has to grow.
+
+        Keys that no row has are in the leaf before them, so leaves rise with keys.
+        """
+        flat = [n for c in self.children for n in self._filled(c)]
         table, out, seen = _literal(flat), F.lit(-1), 0
         while seen < self._height():
             node = -1 - out
@@ -200,6 +203,23 @@ class _Ranges:
             seen += 1
         return out
 
+    def _filled(self, children: dict[int, int]) -> list[int]:
+        out, before = [], None
+        for digits in range(256):
+            if digits in children:
+                before = children[digits]
+                out.append(before)
+            else:
+                out.append(0 if not children else self._edge(min(children.items())[1], first=True) if before is None else self._edge(before))
+        return out
+
+    def _edge(self, child: int, first: bool = False) -> int:
+        """The last (or first) leaf below a child."""
+        while child < 0 and self.children[-1 - child]:
+            below = self.children[-1 - child]
+            child = below[min(below) if first else max(below)]
+        return child
+
     def _height(self, node: int = 0) -> int:
         if not self.children[node]:
             return 0
@@ -228,28 +248,30 @@ def _literal(values: list) -> Column:
     return F.split(F.lit(",".join(str(v).lower() for v in values)), ",").cast(f"array<{kind}>")
 
 
-def _key() -> Column:
-    """Hexadecimal digits in the order of ``page_id``, rows without one last, then ``sha1``, then ``ROW``.
-
-    The row's number splits rows that are repeated as they are.
-    """
+def _key(salt: Column) -> Column:
+    """Hexadecimal digits in the order of ``page_id``, rows without one last, then ``sha1``, then eight more."""
     number = F.lpad(F.hex(F.col("page_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
     number = F.coalesce(F.concat(F.lit("00"), number), F.lit("01" + "0" * 16))
-    salt = F.lpad(F.hex(F.xxhash64(ROW)), 16, "0")
-    return F.concat(number, F.upper(F.substring("sha1", 1, 16)), F.substring(salt, 1, 8))
+    return F.concat(number, F.upper(F.substring("sha1", 1, 16)), salt)
+
+
+def _salt() -> Column:
+    """By the row's number, which splits rows that are repeated as they are."""
+    return F.substring(F.lpad(F.hex(F.xxhash64(ROW)), 16, "0"), 1, 8)
 
 
-def _with_shards(rows: DataFrame, narrow: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """Add ``shard``: ranges of page_id (of payloads, where pages share an id) of less than twice ``shard_bytes``.
+def _shards(narrow: DataFrame, shard_bytes: int) -> tuple[Callable[[Column], Column], int]:
+    """The shard of a row by its salt, and how many there are.
 
+    Shards are ranges of page_id (of payloads, where pages share an id) of less than twice ``shard_bytes``.
     narrow: page_id, sha1, ``ROW`` and size of all rows.  The driver gets exact sums of at most
     256 ranges below each one that is too large; there are at most ``MOST_SHARDS``.
     """
-    keyed = narrow.select(_key().alias("key"), (F.coalesce("size", F.lit(0)) + 512).alias("bytes"))
+    keyed = narrow.select(_key(_salt()).alias("key"), (F.coalesce("size", F.lit(0)) + 512).alias("bytes"))
     whole = keyed.agg(F.sum("bytes").alias("bytes"), F.min("key").alias("low"), F.max("key").alias("high")).first()
     shard_bytes = max(shard_bytes, -(-(whole["bytes"] or 0) // MOST_SHARDS))
     if whole["low"] == whole["high"] or whole["bytes"] <= shard_bytes:
-        return rows.withColumn("shard", F.lit(0)), 1
+        return lambda salt: F.lit(0), 1
     ranges = _Ranges()
     ranges.node(whole["low"], whole["high"])
     grown = 0
@@ -265,7 +287,7 @@ def _with_shards(rows: DataFrame, narrow: DataFrame, shard_bytes: int) -> tuple[
             child = -1 - ranges.node(r["low"], r["high"]) if splits else ranges.leaf(r["bytes"])
             ranges.children[r["node"]][r["digits"]] = child
     shards = ranges.deal(shard_bytes)
-    return rows.withColumn("shard", F.get(_literal(ranges.shards), ranges.found(_key()))), shards
+    return lambda salt: F.get(_literal(ranges.shards), ranges.found(_key(salt))), shards
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0, file_bytes: int = FILE_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -289,10 +311,14 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, file_bytes: int =
     same = same.where("copies > 1").select("sha1", "kept")
     # Marks of revisits are found without the payloads and travel with the pages: sorted just
     # before them, so the payloads are shuffled once.
-    placed, shards = _with_shards(rows, narrow, shard_bytes)
+    shard_of, shards = _shards(narrow, shard_bytes)
+    placed = rows.withColumn("shard", shard_of(_salt()))
     again = F.col("kept.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept.page_id"))
     none = F.lit(None).cast("string")
-    marks = placed.select("shard", "page_id", "sha1").join(same, "sha1").where(again).distinct().select(
+    # Repeated rows may lie in several shards, whatever their salt.
+    spanned = F.sequence(shard_of(F.lit("0" * 8)), shard_of(F.lit("F" * 8)))
+    marked = narrow.select("page_id", "sha1").join(same, "sha1").where(again).distinct().withColumn("shard", F.explode(spanned))
+    marks = marked.select(
         "shard", "page_id", "sha1", F.lit(False).alias("is_page"), none.alias("url"), none.cast("binary").alias("payload"),
         F.col("kept.page_id").alias("refers_to"), F.col("kept.url").alias("refers_url"),
     )
