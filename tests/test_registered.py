@@ -1,5 +1,7 @@
 """Every registered query against its SQL twin."""
 
+import functools
+
 import pytest
 from compare import database, difference, registered
 from test_plans import plan
@@ -12,6 +14,14 @@ def con():
     return database(FOLDER)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_lakes():
+    """Queries that ask the same stored tables have them made once here."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(registered, "_corrected", functools.cache(registered._corrected))
+        yield
+
+
 OWN = [query.__name__ for query in registered._QUERIES]
 
 
