@@ -108,16 +108,18 @@ def _dealt(
         types = (pa.int32(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["shard", "keys", "counts"])
 
-    held = (np.zeros(0, edges.dtype), np.zeros(0, np.int64))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         for part in slices(batch):
-            keys, counts = count(part.column("text"))
-            held = _summed(np.concatenate([held[0], keys]), np.concatenate([held[1], counts]))
-            if len(held[0]) >= HELD:
-                yield flush(*held)
-                held = (held[0][:0], held[1][:0])
-    if len(held[0]):
-        yield flush(*held)
+            held.append(count(part.column("text")))
+            if sum(len(keys) for keys, _ in held) >= HELD:
+                held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+                if len(held[0][0]) >= HELD // 2:  # else most have come again, and may do so still
+                    yield flush(*held.pop())
+    if held:
+        keys, counts = _summed(*map(np.concatenate, zip(*held, strict=True)))
+        if len(keys):
+            yield flush(keys, counts)
 
 
 def _by_shard(dealt: DataFrame, number: str, shards: int, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
@@ -473,8 +475,10 @@ class Model:
         keys, numbers, which, before = _contexts(found, self.pairs)
         out = self.pair_probability(keys, numbers)[which]
         later = np.flatnonzero(before >= 0)
-        triples, at, of = np.unique(before[later] * self.pairs.width + found.right[later], return_index=True, return_inverse=True)
-        out[later] = self.triple_probability(triples, out[later[at]])[of]
+        triples = before[later] * self.pairs.width + found.right[later]
+        order = np.argsort(triples)
+        later = later[order]
+        out[later] = self.triple_probability(triples[order], out[later])
         return out
 
 
@@ -485,7 +489,8 @@ def _triples_of(found: tuple[np.ndarray, ...], before: np.ndarray, right: np.nda
     def begin(at: np.ndarray) -> np.ndarray:
         return begins[at].astype(np.int64) if len(begins) else base[at // STRETCH] + relative[at]
 
-    contexts, of = np.unique(before, return_inverse=True)
+    new = np.concatenate([[True], before[1:] != before[:-1]])
+    contexts, of = before[new], np.cumsum(new) - 1
     low, high = begin(contexts), begin(contexts + 1)
     at = _within(rights, low[of], high[of], right)
     counts = np.where(at < 0, 0, _full(small, large_at, large, np.maximum(at, 0))) if len(rights) else np.zeros(len(right), np.int64)
