@@ -23,12 +23,12 @@ from math import comb, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.files import mapped, qualified, written
 from tillflow.llm.graph import components
+from tillflow.llm.ranking import placed
 from tillflow.llm.work import arrow_map, new_folder
 from tillflow.sources.staging import staged
 
@@ -116,43 +116,22 @@ def _projected(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 _BLOCK = "block bigint, dimension int, low double, high double, names array<string>"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
-    """Write each run of ``BLOCK`` vectors as arrays, with all its projections sorted."""
-    number = 0
-
-    def block(rows: pa.Table, dimension: int) -> pa.RecordBatch:
-        nonlocal number
-        units = np.frombuffer(b"".join(rows["unit"].to_pylist()), np.float64).reshape(-1, dimension)
-        codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.int16).reshape(-1, PROJECTIONS).T
-        order = np.argsort(codes, axis=1, kind="stable")
-        sort = rows["sort"].to_numpy()
-        names = [
-            written(folder, "nodes", rows["node"].to_numpy()), written(folder, "copies", rows["copies"].to_numpy()),
-            written(folder, "codes", codes), written(folder, "sorted", np.take_along_axis(codes, order, axis=1)),
-            written(folder, "order", order.astype(np.uint16)), written(folder, "units", units),
-        ]
-        number += 1
-        values = [(TaskContext.get().partitionId() << 32) + number, dimension, sort[0], sort[-1], names]
-        types = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.string()))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([v], t) for v, t in zip(values, types, strict=True)], ["block", "dimension", "low", "high", "names"]
-        )
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        rows = pa.Table.from_batches(held)
-        while rows.num_rows and (rows.num_rows >= 2 * BLOCK or rows["dimension"][0] != rows["dimension"][-1]):
-            dimension = rows["dimension"][0].as_py()
-            same = int(np.searchsorted(rows["dimension"].to_numpy(), dimension, side="right"))
-            yield block(rows.slice(0, min(same, BLOCK)), dimension)
-            rows = rows.slice(min(same, BLOCK))
-        held = rows.to_batches()
-    rows = pa.Table.from_batches(held) if held else None
-    while rows is not None and rows.num_rows:
-        dimension = rows["dimension"][0].as_py()
-        yield block(rows.slice(0, BLOCK), dimension)
-        rows = rows.slice(BLOCK)
+def _written_block(rows: pa.Table, folder: str) -> pa.Table:
+    """Write the vectors of a block as arrays, with all its projections sorted."""
+    rows = rows.sort_by("place")
+    dimension = rows["dimension"][0].as_py()
+    units = np.frombuffer(b"".join(rows["unit"].to_pylist()), np.float64).reshape(-1, dimension)
+    codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.int16).reshape(-1, PROJECTIONS).T
+    order = np.argsort(codes, axis=1, kind="stable")
+    sort = rows["sort"].to_numpy()
+    names = [
+        written(folder, "nodes", rows["node"].to_numpy()), written(folder, "copies", rows["copies"].to_numpy()),
+        written(folder, "codes", codes), written(folder, "sorted", np.take_along_axis(codes, order, axis=1)),
+        written(folder, "order", order.astype(np.uint16)), written(folder, "units", units),
+    ]
+    types = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.string()))
+    values = [rows["block"][0].as_py(), dimension, sort[0], sort[-1], names]
+    return pa.table([pa.array([v], t) for v, t in zip(values, types, strict=True)], ["block", "dimension", "low", "high", "names"])
 
 
 @dataclass(frozen=True)
@@ -244,9 +223,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
         distinct.select("node", "copies", "vector"), _projected,
         "node bigint, copies bigint, dimension int, sort double, codes binary, unit binary",
     )
-    parts = max(1, -(-distinct.count() // BLOCK))
-    ordered = projected.repartitionByRange(parts, "dimension", "sort").sortWithinPartitions("dimension", "sort", "node")
-    blocks = staged(ordered.mapInArrow(partial(_blocks, folder=folder), _BLOCK), "blocks")
+    # Blocks are cut by place, so they are full whatever the number of tasks.
+    ordered = placed(staged(projected, "projected"), ["dimension"], ["sort", "node"], "ordered")
+    ordered = ordered.withColumn("block", F.floor(F.col("place") / BLOCK).cast("bigint"))
+    blocks = ordered.groupBy("dimension", "block").applyInArrow(lambda rows: _written_block(rows, folder), _BLOCK)
+    blocks = staged(blocks, "blocks")
     others = blocks.select("dimension", *(F.col(c).alias(f"{c}2") for c in ("block", "low", "high", "names")))
     reach = sort_window(cosine)
     pairs = blocks.join(others, "dimension").where(
@@ -257,11 +238,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     found = staged(arrow_map(dealt, partial(_compared, folder=folder, cosine=cosine), "a bigint, b bigint, links bigint"), "links")
     linked = found.where("links IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b IS NOT NULL").select("a", "b"))
-    placed = distinct.select("key", "node", "copies", "least").join(linked, "node", "left").join(roots, "node", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "node"))
-    named = placed.groupBy("root").agg(F.min("least").alias("component"))
-    placed = placed.join(named, "root").select("key", "component", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
-    out = rows.select("vec_id", "key").join(placed, "key", "left")
+    found_of = distinct.select("key", "node", "copies", "least").join(linked, "node", "left").join(roots, "node", "left")
+    found_of = found_of.withColumn("root", F.coalesce("root", "node"))
+    named = found_of.groupBy("root").agg(F.min("least").alias("component"))
+    found_of = found_of.join(named, "root").select("key", "component", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    out = rows.select("vec_id", "key").join(found_of, "key", "left")
     return out.select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")
     ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
