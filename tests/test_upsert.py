@@ -167,3 +167,25 @@ def test_silver_reads_back_with_its_fixed_schema(spark, tmp_path):
     lake = Lake(str(tmp_path))
     put(spark, lake.silver, [line("A", loaded=LOADED + datetime.timedelta(days=1))])
     assert {f.name: f.dataType for f in read_silver(spark, lake).schema} == {f.name: f.dataType for f in SILVER}
+
+
+def test_swap_copies_the_laid_out_rows_without_another_shuffle(spark, tmp_path, monkeypatch):
+    """Rows and keys were laid out beside the table; swapping them in does not rebalance them again."""
+    from tillflow.sinks import directory
+
+    path = str(tmp_path / "silver")
+    put(spark, path, [line("A", day="2024-01-31"), line("B", day="2024-02-01")])
+    calls = []
+
+    def watched(original):
+        def write(df, path, partition_by, sort_by=(), laid_out=False):
+            calls.append(laid_out)
+            return original(df, path, partition_by, sort_by, laid_out)
+
+        return write
+
+    monkeypatch.setattr(upsert_module, "overwrite_partitions", watched(upsert_module.overwrite_partitions))
+    monkeypatch.setattr(directory, "overwrite_partitions", watched(directory.overwrite_partitions))
+    put(spark, path, [line("A", day="2024-02-02", quantity=7)])
+    assert calls == [True, True]
+    assert content(spark, path) == expected([line("A", day="2024-02-02", quantity=7), line("B", day="2024-02-01")])
