@@ -101,3 +101,13 @@ def test_deliveries_are_packed(spark, tmp_path):
     lines = spark.createDataFrame([tuple(line("A")[c] for c in RAW.names)], schema)
     landing = registered._landed(spark, lines, str(tmp_path))
     assert all(name.endswith(".csv.gz") for name in os.listdir(landing) if name.startswith("part"))
+
+
+def test_rows_are_off_the_shuffle_before_they_are_laid_out(spark, tmp_path, monkeypatch):
+    labels, original = [], upsert_module.staged
+    monkeypatch.setattr(upsert_module, "staged", lambda df, label: labels.append(label) or original(df, label))
+    put(spark, str(tmp_path / "silver"), [line("A", quantity=1)])
+    assert labels == ["upsert"]
+    put(spark, str(tmp_path / "silver"), [line("A", quantity=2)])
+    assert labels[-1] == "merged"
+    assert content(spark, str(tmp_path / "silver")) == expected([line("A", quantity=2)])
